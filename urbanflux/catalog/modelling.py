@@ -35,13 +35,13 @@ _MAPES = {
 
 
 @query("N7_regression_metrics", " UNION ALL ".join(
-    f"SELECT '{rule}' AS regla, {_METRICS}, {mape} AS mape FROM (SELECT propina AS y, precio_base * 0.12::DOUBLE AS p FROM trips WHERE propina IS NOT NULL)"
+    f"SELECT '{rule}' AS regla, {_METRICS}, {mape} AS mape FROM (SELECT precio_total_est AS y, precio_base + 0.5::DOUBLE AS p FROM trips)"
     for rule, mape in _MAPES.items()), "mae rmse r2 bias mape", 4)
 def regression_metrics(spark, sf):
-    """A flat 12 % rule for tips under the four MAPE denominators."""
-    t = B.trips(spark, sf).select("propina", (F.col("precio_base") * 0.12).alias("p"))
+    """A flat surcharge as the price prediction under the four MAPE denominators."""
+    t = B.trips(spark, sf).select("precio_total_est", (F.col("precio_base") + 0.5).alias("p"))
     rows = [
-        evaluation.regression_metrics(t, "propina", "p", rule).withColumn("regla", F.lit(rule)) for rule in evaluation.MAPE_RULES
+        evaluation.regression_metrics(t, "precio_total_est", "p", rule).withColumn("regla", F.lit(rule)) for rule in evaluation.MAPE_RULES
     ]
     return reduce(DataFrame.unionByName, rows)
 
@@ -174,7 +174,7 @@ SELECT id, s AS rentabilidad_score, CASE WHEN s >= 0.55::DOUBLE THEN 'ACEPTAR' E
        CASE WHEN retorno > 0.6::DOUBLE THEN 'ALTA' ELSE 'MODERADA' END AS encadenado FROM (
   SELECT id, retorno, 0.45::DOUBLE * least(propina / 4.0::DOUBLE, 1) + 0.25::DOUBLE * least(velocidad_mph / 20.0::DOUBLE, 1) + 0.30::DOUBLE * retorno AS s
   FROM (SELECT id, coalesce(propina, 0) AS propina, velocidad_mph, coalesce(num_pasajeros, 0) / 6.0::DOUBLE AS retorno FROM trips))
-""", "rentabilidad_score")
+""")
 def accept_score(spark, sf):
     t = B.trips(spark, sf).select(
         "id", F.coalesce("propina", F.lit(0.0)).alias("propina"), "velocidad_mph",
@@ -216,8 +216,9 @@ def _window_rows(spark, sf):
 
 
 def _tip_rows(spark, sf):
-    filled = fill_passengers(fill_tips(B.enriched(spark, sf).drop("tipo_pago")), "id")
-    return written_table(feature_chain.tip_table(filled, ["id"]), "tips")
+    rich = written_table(B.enriched(spark, sf).drop("tipo_pago"), "enriched")
+    final = written_table(fill_passengers(fill_tips(rich), "id"), "final")
+    return written_table(feature_chain.tip_table(final, ["id"]), "tips")
 
 
 def _part(df, name):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import contract as C
-from ..operators import anomalies, demand, evaluation, reports, sequences, splits, supply
+from ..operators import anomalies, demand, evaluation, reports, sequences, splits
 from ..plans import feature_chain
 from . import base as B
 from .base import query
@@ -17,22 +17,16 @@ def zone_hours(spark, sf):
 
 
 def features(spark, sf):
-    """Demand features with the chronological split, as one plan."""
-    t = B.trips(spark, sf)
-    cuts = splits.cut_columns(splits.time_cuts(t))
-    return splits.split_by_time(demand.demand_features(zone_hours(spark, sf), cuts[0]), "timestamp_hora", cuts)
+    """Demand features with the chronological split."""
+    return feature_chain.demand_table(B.enriched(spark, sf), span=B.trips(spark, sf))
 
 
 def labelled(spark, sf):
-    t = B.trips(spark, sf)
-    cuts = splits.cut_columns(splits.time_cuts(t, minutes=10))
-    windows = supply.with_supply(supply.zone_windows(B.enriched(spark, sf)), supply.inferred_supply(t))
-    return splits.split_by_time(supply.with_good_label(windows), "ventana_inicio", cuts)
+    return feature_chain.labelled_windows(B.enriched(spark, sf), arrivals=B.trips(spark, sf))
 
 
 def good_zones(spark, sf):
-    rows = labelled(spark, sf)
-    return supply.with_historic_rate(rows, rows.where("split = 'train'"))
+    return feature_chain.supply_table(B.enriched(spark, sf), arrivals=B.trips(spark, sf))
 
 
 def counts(spark, sf):
@@ -148,9 +142,9 @@ WITH d AS (SELECT origen_id, timestamp_hora, demanda,
              row_number() OVER w AS pos FROM series WINDOW w AS (PARTITION BY origen_id ORDER BY timestamp_hora)),
 r AS (SELECT *, sum(nuevo) OVER (PARTITION BY origen_id ORDER BY timestamp_hora) AS run FROM d),
 l AS (SELECT *, count(*) OVER (PARTITION BY origen_id, run) AS len,
-             row_number() OVER (PARTITION BY origen_id, run ORDER BY timestamp_hora) AS at FROM r),
+             row_number() OVER (PARTITION BY origen_id, run ORDER BY timestamp_hora) AS k FROM r),
 c AS (SELECT *, min(CASE WHEN len >= 24 THEN run END) OVER (PARTITION BY origen_id) AS chosen FROM l)
-SELECT origen_id, timestamp_hora, demanda FROM c WHERE (chosen IS NOT NULL AND run = chosen AND at <= 24) OR (chosen IS NULL AND pos <= 24)
+SELECT origen_id, timestamp_hora, demanda FROM c WHERE (chosen IS NOT NULL AND run = chosen AND k <= 24) OR (chosen IS NULL AND pos <= 24)
 """)
 def consecutive_run(spark, sf):
     return sequences.first_run(counts(spark, sf), 24).select("origen_id", "timestamp_hora", "demanda")

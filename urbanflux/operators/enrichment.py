@@ -33,15 +33,15 @@ def with_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
 def fill_weather(trips: DataFrame, by: tuple[str, ...] = ("tipo_vehiculo", "mes_num")) -> DataFrame:
     """Flags and precipitation to 0; temperature and wind to the median of their file.
 
-    A file is one service and month. The medians come from value counts, so the
-    only thing shuffled is one row per (file, distinct reading).
+    A file is one service and month. Trips are first counted per distinct pair of
+    readings, at most one per hour and borough of the month, and the medians are
+    weighted by those counts: one pass, and no task holds the readings of all trips.
     """
     measures = ["temp_c", "viento_kmh"]
-    medians = None
-    for m in measures:
-        counts = trips.where(F.col(m).isNotNull()).groupBy(*by, m).agg(F.count(F.lit(1)).alias("c"))
-        one = counts.groupBy(*by).agg(F.percentile(m, F.lit(0.5), F.col("c")).alias(f"_{m}"))
-        medians = one if medians is None else medians.join(one, list(by), "full")
+    counts = trips.groupBy(*by, *measures).agg(F.count(F.lit(1)).alias("c"))
+    medians = counts.groupBy(*by).agg(*[
+        F.percentile(m, F.lit(0.5), F.col("c")).alias(f"_{m}") for m in measures
+    ])
     filled = trips.join(closed_domain(medians), list(by), "left")
     return filled.withColumns({
         **{m: F.coalesce(F.col(m), F.col(f"_{m}"), F.lit(0.0)) for m in measures},

@@ -15,21 +15,33 @@ from ..operators.context import context_table
 from ..session import written_table
 
 
-def demand_table(trips: DataFrame) -> DataFrame:
-    """Zone by hour features with a chronological split."""
+def demand_table(trips: DataFrame, span: DataFrame | None = None) -> DataFrame:
+    """Zone by hour features with a chronological split.
+
+    The trips are read once: lags, means and split all start from the written zone by
+    hour table. ``span`` gives the time range when a narrower table than ``trips`` can.
+    """
     hours = written_table(demand.zone_hour_demand(trips), "zone-hours")
-    cuts = splits.cut_columns(splits.time_cuts(trips, "fecha_inicio", 60))
+    cuts = splits.cut_columns(splits.time_cuts(trips if span is None else span, "fecha_inicio", 60))
     return splits.split_by_time(demand.demand_features(hours, cuts[0]), "timestamp_hora", cuts)
 
 
-def supply_table(trips: DataFrame, minutes: int = 10) -> DataFrame:
-    """Zone by window table with supply, label, historical rate and split."""
-    cuts = splits.cut_columns(splits.time_cuts(trips, "fecha_inicio", minutes if minutes < 60 else 60))
-    windows = supply.with_supply(supply.zone_windows(trips, minutes), supply.inferred_supply(trips, minutes))
-    labelled = written_table(
-        splits.split_by_time(supply.with_good_label(windows), "ventana_inicio", cuts), "zone-windows"
-    )
-    return supply.with_historic_rate(labelled, labelled.where("split = 'train'"))
+def labelled_windows(trips: DataFrame, minutes: int = 10, arrivals: DataFrame | None = None) -> DataFrame:
+    """Zone by window table with supply, good-zone label and split.
+
+    ``arrivals`` are the trips that make the supply and the time range, where a
+    narrower table than ``trips`` has them.
+    """
+    arrivals = trips if arrivals is None else arrivals
+    cuts = splits.cut_columns(splits.time_cuts(arrivals, "fecha_inicio", minutes))
+    windows = supply.with_supply(supply.zone_windows(trips, minutes), supply.inferred_supply(arrivals, minutes))
+    return splits.split_by_time(supply.with_good_label(windows), "ventana_inicio", cuts)
+
+
+def supply_table(trips: DataFrame, minutes: int = 10, arrivals: DataFrame | None = None) -> DataFrame:
+    """The labelled windows, written once, with the historical rate of the training rows."""
+    rows = written_table(labelled_windows(trips, minutes, arrivals), "zone-windows")
+    return supply.with_historic_rate(rows, rows.where("split = 'train'"))
 
 
 def speed_table(trips: DataFrame) -> DataFrame:
