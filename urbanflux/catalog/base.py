@@ -102,7 +102,13 @@ def zones(spark: SparkSession, sf: str) -> DataFrame:
 # --- trips from events: times within the day ---------------------------------------
 
 def raw_events(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    """Events with ``k`` from their JSON text.
+
+    A generator reads the text once per row; as a plain expression it would be copied
+    into every filter and column that uses ``k``.
+    """
+    e = table(spark, sf, "events")
+    return e.select("*", F.json_tuple("props", "k").alias("_k")).withColumn("k", F.col("_k").cast("int")).drop("_k")
 
 
 def trips(spark: SparkSession, sf: str) -> DataFrame:

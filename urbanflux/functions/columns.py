@@ -94,7 +94,7 @@ def cyclic(hour: Column | str) -> tuple[Column, Column]:
 
 
 def weekday_name(day: Column | str, names: tuple[str, ...] = C.WEEKDAYS_EN) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), col(day) + 1)
+    return F.get(F.array(*[F.lit(n) for n in names]), col(day))
 
 
 def weekday_number(name: Column | str, names: tuple[str, ...] = C.WEEKDAYS_EN) -> Column:

@@ -109,7 +109,7 @@ def lookup_context(
             F.min_by(F.struct(*values), F.col("_nivel")).alias("_v"),
         )
     )
-    label = F.element_at(F.array(*[F.lit(n) for n, _ in C.CONTEXT_LEVELS]), F.col("_nivel") + 1)
+    label = F.get(F.array(*[F.lit(n) for n, _ in C.CONTEXT_LEVELS]), F.col("_nivel"))
     resolved = found.select(
         *[F.col(f"_q_{k}") for k in keys],
         label.alias("nivel_contexto"),

@@ -86,9 +86,12 @@ def split_by_position(
     comparison with their keys: the trips are neither sorted nor shuffled.
     """
     t = F.col(ts)
+    (_, high), *low = hash_levels(key)
     levels = [
-        ("_d", F.to_date(t)), ("_s", F.date_trunc("second", t).cast("timestamp_ntz")), ("_t", t),
-        *hash_levels(key),
+        ("_d", F.to_date(t)),
+        ("_s", F.date_trunc("second", t).cast("timestamp_ntz")),
+        ("_t", F.struct(t.alias("t"), high.alias("h"))),
+        ("_k", F.struct(*[expr.alias(name) for name, expr in low])),
     ]
     names = [name for name, _ in levels]
     totals = [sum(shares[: i + 1]) for i in range(len(shares))]

@@ -87,7 +87,7 @@ def calendar_days(spark: SparkSession, start: Column | str, end: Column | str) -
 def calendar_months(spark: SparkSession, start: str, end: str) -> DataFrame:
     """``YYYY-MM`` of every month from ``start`` to ``end``."""
     months = F.sequence(X.month_edge(F.lit(start)), X.month_edge(F.lit(end)), F.expr("interval 1 month"))
-    return spark.range(1).select(F.date_format(F.explode(months), "yyyy-MM").alias("mes"))
+    return spark.range(1).select(F.explode(months).alias("d")).select(F.date_format("d", "yyyy-MM").alias("mes"))
 
 
 def holiday_calendar(holidays: DataFrame, days: DataFrame) -> DataFrame:
@@ -120,7 +120,8 @@ def daily_events(events: DataFrame, days: DataFrame) -> DataFrame:
         F.max(X.literal_rank("impacto", C.EVENT_PRIORITY)).alias("_p"),
         F.count(F.lit(1)).cast("int").alias("num_eventos"),
     )
-    label = F.element_at(F.array(*[F.lit(names[i]) for i in range(4)]), F.col("_p") + 1)
+    # get() and not element_at(): with a NULL index the latter is not NULL under ANSI rules
+    label = F.get(F.array(*[F.lit(names[i]) for i in range(4)]), F.col("_p"))
     return days.join(per_day, "fecha", "left").select(
         "fecha",
         F.coalesce(label, F.lit(C.NO_EVENT)).alias("evento_tipo"),
