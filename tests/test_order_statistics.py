@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from urbanflux.functions import order_statistics
 from urbanflux.functions.order_statistics import exact_quantile, exact_quantiles, score_curve
 from urbanflux.operators import splits
 from urbanflux.operators.evaluation import ranking_metrics
@@ -9,6 +10,12 @@ from urbanflux.operators.evaluation import ranking_metrics
 PROBS = (0.0, 0.01, 0.25, 0.5, 0.66, 0.99, 1.0)
 
 
+@pytest.fixture(autouse=True, params=[100_000, 20_000])
+def group_limit(request, monkeypatch):
+    """Both ways: groups ranked whole, and groups cut down by the sketch."""
+    monkeypatch.setattr(order_statistics, "WHOLE_GROUP", request.param)
+
+
 def check(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     row = exact_quantiles(df, ["v"], PROBS).first()
@@ -17,17 +24,17 @@ def check(spark, values):
     np.testing.assert_allclose([row[f"q{i}"] for i in range(len(PROBS))], want, rtol=1e-12)
 
 
-@pytest.mark.parametrize("kind", ["uniform", "heavy", "ties", "negative", "two", "one", "hot"])
+@pytest.mark.parametrize("kind", ["uniform", "heavy", "ties", "negative", "small", "two", "one", "hot"])
 def test_quantiles_match_numpy(spark, kind):
     rng = np.random.default_rng(3)
     values = {
         "uniform": rng.random(30011),
         "heavy": np.exp(rng.normal(0, 6, 20000)),
-        "ties": rng.integers(0, 5, 9999),
-        "negative": rng.normal(-5, 100, 5000),
-        "two": np.array([2.0, 1.0]),
+        "ties": rng.integers(0, 5, 29999),
+        "negative": rng.normal(-5, 100, 25000),
+        "small": rng.random(967), "two": np.array([2.0, 1.0]),
         "one": np.array([7.5]),
-        "hot": np.concatenate([np.full(7000, 3.25), rng.random(3000) * 10]),
+        "hot": np.concatenate([np.full(17000, 3.25), rng.random(13000) * 10]),
     }[kind]
     check(spark, values.tolist())
 

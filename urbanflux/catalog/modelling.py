@@ -25,7 +25,7 @@ def baselines(spark, sf):
 
 
 _METRICS = """count(*) AS n, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y - p))) AS rmse,
-  1 - avg((y - p) * (y - p)) / var_pop(y) AS r2, avg(p - y) AS bias"""
+  1 - avg((y - p) * (y - p)) / nullif(var_pop(y), 0) AS r2, avg(p - y) AS bias"""
 _MAPES = {
     "min1": "avg(abs((y - p) / greatest(y, 1))) * 100",
     "eps": "avg(abs((y - p) / (y + 1e-8))) * 100",

@@ -19,6 +19,9 @@ from ..session import closed_domain
 _ACCURACY = 10_000
 _SLACK = 3.0 / _ACCURACY
 _BINS = 1024
+# up to this many values a group is ranked whole; beyond it the slack of the brackets
+# exceeds the error of the sketch by many ranks
+WHOLE_GROUP = 100_000
 
 
 def exact_quantiles(
@@ -52,14 +55,17 @@ def exact_quantiles(
         F.percentile_approx("valor", F.array(*[F.lit(p) for p in low]), _ACCURACY).alias("_lo"),
         F.percentile_approx("valor", F.array(*[F.lit(p) for p in high]), _ACCURACY).alias("_hi"),
     )
+    whole = F.col("n") <= WHOLE_GROUP
     brackets = sketch.select(
         *keys,
         F.col("n"),
         F.array(*[
-            F.col("_min") if p == 0.0 else F.element_at("_lo", i + 1) for i, p in enumerate(low)
+            F.col("_min") if p == 0.0 else F.when(whole, F.col("_min")).otherwise(F.get("_lo", F.lit(i)))
+            for i, p in enumerate(low)
         ]).alias("_lo"),
         F.array(*[
-            F.col("_max") if p == 1.0 else F.element_at("_hi", i + 1) for i, p in enumerate(high)
+            F.col("_max") if p == 1.0 else F.when(whole, F.col("_max")).otherwise(F.get("_hi", F.lit(i)))
+            for i, p in enumerate(high)
         ]).alias("_hi"),
     )
 
