@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as X
 from ..operators.enrichment import enrich_trips
 from ..operators.imputation import with_calendar
+from ..session import written_table
 from ..sources import dimensions as D
 
 
@@ -263,9 +264,18 @@ def city_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich_trips(
-        trips(spark, sf), zones(spark, sf), weather(spark, sf), holidays(spark, sf), city_days(spark, sf)
-    )
+    """Trips with context columns.
+
+    The dimensions are written first, as they would be in production: Catalyst then
+    knows their real size and broadcasts them, or not, on that ground. As plans over
+    the events they would look as large as the events and force the trips to shuffle.
+    """
+    stored = {
+        "weather": written_table(weather(spark, sf), "weather"),
+        "holidays": written_table(holidays(spark, sf), "holidays"),
+        "daily": written_table(city_days(spark, sf), "city-days"),
+    }
+    return enrich_trips(trips(spark, sf), zones(spark, sf), **stored)
 
 
 # The same tables in SQL. A statement pays only for the ones it names.

@@ -29,7 +29,7 @@ def monthly_scan(spark, sf):
         "fecha_inicio", "precio_base", service.alias("servicio"), F.year("fecha_inicio").alias("anio"),
         F.concat(service, F.date_format("fecha_inicio", "'_tripdata_'yyyy-MM'.parquet'")).alias("archivo"),
     )
-    files.repartition("servicio", "archivo").write.partitionBy("servicio", "anio", "archivo").parquet(root)
+    files.repartitionByRange("servicio", "archivo", F.xxhash64("fecha_inicio", "precio_base")).write.partitionBy("servicio", "anio", "archivo").parquet(root)
     months = T.rolling_year_months(1999)
     both = T.monthly_trips(spark, root, "yellow", months).unionByName(T.monthly_trips(spark, root, "fhvhv", months))
     return both.groupBy("servicio", "anio_archivo", "mes_archivo").agg(

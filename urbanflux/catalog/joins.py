@@ -8,6 +8,7 @@ from .. import contract as C
 from ..functions import columns as X
 from ..operators import context, demand, enrichment, reports, supply
 from ..operators.models import encode_labels, label_dictionary
+from ..session import written_table
 from ..sources import dimensions as D
 from . import base as B
 from .base import query
@@ -24,7 +25,7 @@ def zone_names(spark, sf):
 SELECT id, temp_c, precipitation, viento_kmh, lluvia::DOUBLE AS lluvia, nieve::DOUBLE AS nieve FROM weathered
 """, "temp_c precipitation viento_kmh")
 def hourly_weather(spark, sf):
-    t = enrichment.with_weather(enrichment.with_zones(B.trips(spark, sf), B.zones(spark, sf)), B.weather(spark, sf))
+    t = enrichment.with_weather(enrichment.with_zones(B.trips(spark, sf), B.zones(spark, sf)), written_table(B.weather(spark, sf), "weather"))
     return t.select("id", "temp_c", "precipitation", "viento_kmh", *[F.col(c).cast("double") for c in ("lluvia", "nieve")])
 
 
@@ -32,12 +33,12 @@ def hourly_weather(spark, sf):
 SELECT id, coalesce(es_festivo, 0) AS es_festivo FROM trips LEFT JOIN holidays ON fecha = fecha_inicio::DATE
 """)
 def holiday_flag(spark, sf):
-    return enrichment.with_holidays(B.trips(spark, sf), B.holidays(spark, sf)).select("id", "es_festivo")
+    return enrichment.with_holidays(B.trips(spark, sf), written_table(B.holidays(spark, sf), "holidays")).select("id", "es_festivo")
 
 
 @query("E4_city_events", "SELECT id, evento_tipo, num_eventos FROM enriched")
 def city_event_columns(spark, sf):
-    return enrichment.with_city_events(B.trips(spark, sf), B.city_days(spark, sf)).select("id", "evento_tipo", "num_eventos")
+    return enrichment.with_city_events(B.trips(spark, sf), written_table(B.city_days(spark, sf), "city-days")).select("id", "evento_tipo", "num_eventos")
 
 
 @query("E5_supply", "SELECT origen_id, ventana_inicio, n_viajes, oferta_inferida FROM labelled", "oferta_inferida")

@@ -8,6 +8,7 @@ from .. import contract as C
 from ..functions import columns as X
 from ..operators import cleaning, context, demand, enrichment, imputation, reports
 from ..operators.models import model_matrix
+from ..session import written_table
 from ..sources.dimensions import unique_by_key
 from . import base as B
 from .base import query
@@ -205,7 +206,7 @@ def service_defaults(spark, sf):
 
 @query("D2_weather_gaps", "SELECT id, temp_c, precipitation, viento_kmh, lluvia, nieve FROM enriched", "temp_c precipitation viento_kmh")
 def weather_gaps(spark, sf):
-    t = enrichment.with_weather(enrichment.with_zones(B.trips(spark, sf), B.zones(spark, sf)), B.weather(spark, sf))
+    t = enrichment.with_weather(enrichment.with_zones(B.trips(spark, sf), B.zones(spark, sf)), written_table(B.weather(spark, sf), "weather"))
     return enrichment.fill_weather(t).select("id", "temp_c", "precipitation", "viento_kmh", "lluvia", "nieve")
 
 
@@ -273,6 +274,6 @@ SELECT t.id, coalesce(w.temp_c, 15)::DOUBLE AS temp_c, coalesce(w.viento_kmh, 10
 LEFT JOIN weather w ON w.fecha_hora = date_trunc('hour', fecha_inicio) AND w.borough = origen_barrio
 """, "temp_c viento_kmh")
 def context_defaults(spark, sf):
-    t = enrichment.with_weather(enrichment.with_zones(B.trips(spark, sf), B.zones(spark, sf)), B.weather(spark, sf))
+    t = enrichment.with_weather(enrichment.with_zones(B.trips(spark, sf), B.zones(spark, sf)), written_table(B.weather(spark, sf), "weather"))
     wanted = {c: C.CONTEXT_DEFAULTS_P5[c] for c in ("temp_c", "viento_kmh", "origen_zona")}
     return context.with_defaults(t.drop("origen_zona"), wanted).select("id", *wanted)

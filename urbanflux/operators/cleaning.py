@@ -69,13 +69,27 @@ def known_zones(*cols: str) -> Column:
     return keep
 
 
+def limits_on_raw(df: DataFrame) -> DataFrame:
+    """Distance and zone limits on columns that already have a number type.
+
+    They repeat what is checked after coercion, in a form the Parquet scan can use.
+    """
+    numbers = {c for c, kind in df.dtypes if kind in ("double", "float", "int", "bigint", "smallint")}
+    if "distancia" in numbers:
+        df = df.where((F.col("distancia") > C.DISTANCE_LIMITS[0]) & (F.col("distancia") < C.DISTANCE_LIMITS[1]))
+    for c in ("origen_id", "destino_id"):
+        if c in numbers:
+            df = df.where(~F.col(c).isin(*C.UNKNOWN_ZONES))
+    return df
+
+
 def speed_band(speed: str = "velocidad_mph") -> Column:
     return F.col(speed).between(*C.SPEED_BAND)
 
 
 def common_rules(df: DataFrame, service: str, strict_nulls: bool = True) -> DataFrame:
     """Rules of every service. ``strict_nulls`` also drops a NULL in any mapped column."""
-    df = coerce_types(df)
+    df = coerce_types(limits_on_raw(df))
     df = df.where(ends_after_start())
     df = df.withColumn("duracion_min", X.minutes_between("fecha_inicio", "fecha_fin"))
     df = df.where(physical_limits() & known_zones())

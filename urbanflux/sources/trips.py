@@ -12,13 +12,14 @@ _MONTH_IN_PATH = r"(\d{4})-(\d{2})\.parquet"
 
 
 def monthly_trips(
-    spark: SparkSession, root: str, service: str, months: Iterable[tuple[int, int]]
+    spark: SparkSession, root: str, service: str, months: Iterable[tuple[int, int]], merge_schema: bool = False
 ) -> DataFrame:
     """Trips of the wanted (year, month) pairs under ``root/service/year/*YYYY-MM.parquet``.
 
     Folders may also be written as ``name=value``. The year folder and the month suffix select files by path, so other months are
-    never listed into the scan. Adds ``anio_archivo`` and ``mes_archivo``. A month
-    without a file raises with the months that do exist.
+    never listed into the scan. Adds ``anio_archivo`` and ``mes_archivo``. No file at
+    all raises with the months that do exist. ``merge_schema`` also reads columns that
+    only some months have, at the cost of opening every footer.
     """
     wanted = sorted(set(months))
     years = sorted({y for y, _ in wanted})
@@ -31,7 +32,7 @@ def monthly_trips(
     if not files:
         have = ", ".join(f"{y}-{m:02d}" for y, m in available_months(spark, root, service)) or "none"
         raise FileNotFoundError(f"no {service} file for {wanted}; available months: {have}")
-    trips = spark.read.parquet(pattern)
+    trips = spark.read.option("mergeSchema", merge_schema).parquet(pattern)
     path = F.col("_metadata.file_path")
     return trips.select(
         "*",
