@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as X
 from ..operators.enrichment import enrich_trips
 from ..operators.imputation import with_calendar
-from ..session import written_table
+from ..session import written_tables
 from ..sources import dimensions as D
 
 
@@ -270,11 +270,9 @@ def enriched(spark: SparkSession, sf: str) -> DataFrame:
     knows their real size and broadcasts them, or not, on that ground. As plans over
     the events they would look as large as the events and force the trips to shuffle.
     """
-    stored = {
-        "weather": written_table(weather(spark, sf), "weather"),
-        "holidays": written_table(holidays(spark, sf), "holidays"),
-        "daily": written_table(city_days(spark, sf), "city-days"),
-    }
+    stored = written_tables({
+        "weather": weather(spark, sf), "holidays": holidays(spark, sf), "daily": city_days(spark, sf),
+    })
     return enrich_trips(trips(spark, sf), zones(spark, sf), **stored)
 
 

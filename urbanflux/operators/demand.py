@@ -151,9 +151,12 @@ def with_score(summary: DataFrame, value: str = "demanda_media") -> DataFrame:
 
 
 def demand_levels(demand: DataFrame) -> DataFrame:
-    """Zone by band summary with peak hour, level and score."""
-    joined = band_summary(demand).join(peak_hours(demand), ["origen_id", "franja_horaria"], "left")
-    return with_score(with_level(joined))
+    """Zone by band summary with peak hour, level and score.
+
+    The level cuts are taken before the peak hours join, so their subquery stays short.
+    """
+    levelled = with_score(with_level(band_summary(demand)))
+    return levelled.join(peak_hours(demand), ["origen_id", "franja_horaria"], "left")
 
 
 def name_zones(summary: DataFrame, zones: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,12 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Several small stage tables, their jobs submitted side by side."""
+    with ThreadPoolExecutor(max_workers=max(len(tables), 1)) as pool:
+        return dict(zip(tables, pool.map(lambda item: written_table(item[1], item[0]), tables.items())))
+
+
 def closed_domain(df: DataFrame) -> DataFrame:
     """Broadcast hint for a table whose keys come from a closed, tiny domain.
 
