@@ -5,22 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from urbanflux.llm.common import table
+from urbanflux.llm.mixing import MIX_SQL, mix_plan
+from urbanflux.llm.pieces import checked, encode_documents
 from urbanflux.llm.quality import score_quality
+from urbanflux.llm.sharding import shard_documents
 from urbanflux.llm.simhash import near_duplicates
+from urbanflux.llm.token_files import read_token_files, token_folder, write_token_files
+from urbanflux.llm.topk import TOP_K_SQL, top_k
 from urbanflux.llm.toxicity import score_toxicity
 
+#: Folder of the public vocabularies.
+TOKENIZERS = "/opt/tokenizers"
+BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
+
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mix_plan(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_documents(table(spark, sf_dir, "documents"))
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", grown)
+
+
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checked(encode_documents(table(spark, sf_dir, "documents"), PIECES), PIECES)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_token_files(table(spark, sf_dir, "documents"), BYTE_BPE, token_folder(spark))
+    return read_token_files(files)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -28,8 +63,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_mixing": op2_mixing,
+    "op3_sharding": op3_sharding,
+    "op5_top_k": op5_top_k,
+    "op6_pieces": op6_pieces,
     "op7_simhash": op7_simhash,
+    "op8_token_files": op8_token_files,
     "op9_quality": op9_quality,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_mixing": MIX_SQL, "op5_top_k": TOP_K_SQL}
