@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanflux.llm.common import table
+from urbanflux.llm.licenses import LICENSE_SQL, license_matches
 from urbanflux.llm.mixing import MIX_SQL, mix_plan
 from urbanflux.llm.pieces import checked, encode_documents
 from urbanflux.llm.quality import score_quality
@@ -39,6 +40,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", grown)
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(table(spark, sf_dir, "documents"))
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
     "op3_sharding": op3_sharding,
+    "op4_licenses": op4_licenses,
     "op5_top_k": op5_top_k,
     "op6_pieces": op6_pieces,
     "op7_simhash": op7_simhash,
@@ -72,4 +78,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
 }
 
-SQL: dict[str, str] = {"op2_mixing": MIX_SQL, "op5_top_k": TOP_K_SQL}
+SQL: dict[str, str] = {"op2_mixing": MIX_SQL, "op4_licenses": LICENSE_SQL, "op5_top_k": TOP_K_SQL}
