@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanflux.llm.common import table
+from urbanflux.llm.divergence import RULES_SQL, quality_rules
 from urbanflux.llm.licenses import LICENSE_SQL, license_matches
 from urbanflux.llm.mixing import MIX_SQL, mix_plan
 from urbanflux.llm.pieces import checked, encode_documents
@@ -66,6 +67,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).drop("character_distance", "word_distance")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
@@ -76,6 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash": op7_simhash,
     "op8_token_files": op8_token_files,
     "op9_quality": op9_quality,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-SQL: dict[str, str] = {"op2_mixing": MIX_SQL, "op4_licenses": LICENSE_SQL, "op5_top_k": TOP_K_SQL}
+SQL: dict[str, str] = {
+    "op2_mixing": MIX_SQL, "op4_licenses": LICENSE_SQL, "op5_top_k": TOP_K_SQL, "op10_quality_rules": RULES_SQL,
+}
