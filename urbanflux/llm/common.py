@@ -36,12 +36,12 @@ def ranked(df: DataFrame, group: list[str], order: list[str], rank: str) -> Data
     ahead = ahead.withColumn("_ahead", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     ahead = ahead.select(F.col("_range").alias("_r"), "_ahead", *[F.col(c).alias(f"_g_{c}") for c in group])
     within = Window.partitionBy("_range", *group).orderBy(*order)
-    numbered = spread.withColumn("_row", F.row_number().over(within))
+    numbered = spread.withColumn("_in_range", F.row_number().over(within))
     match = F.col("_range") == F.col("_r")
     for c in group:
         match = match & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    numbered = numbered.join(ahead, match).withColumn(rank, F.col("_ahead") + F.col("_row"))
-    return numbered.drop("_range", "_r", "_ahead", "_row", *[f"_g_{c}" for c in group])
+    numbered = numbered.join(ahead, match).withColumn(rank, F.col("_ahead") + F.col("_in_range"))
+    return numbered.drop("_range", "_r", "_ahead", "_in_range", *[f"_g_{c}" for c in group])
 
 
 __all__ = ["WORD", "id_remainder", "ranked", "scratch_path", "table", "written_table"]

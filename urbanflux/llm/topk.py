@@ -149,7 +149,7 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
     non-finite components take no part, nor do rows without a vec_id, nor vectors of
     another length than the most frequent (of equally frequent ones, the longest). A
     vec_id stands for one vector: of several rows with one id the greatest vector, by
-    component, counts. With k or fewer others a query gets all. An empty table gives an
+    component, counts. Scores must fit 64 bits. With k or fewer others a query gets all. An empty table gives an
     empty result. Other columns are not read.
 
     Queries are a share of the rows; they meet all rows in blocks, a group of queries
