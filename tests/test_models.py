@@ -66,5 +66,5 @@ def test_dummies(spark):
     df = spark.createDataFrame([("b",), ("a",), ("zz",)], "c string")
     cats = {"c": ["a", "b"]}
     assert [tuple(r) for r in models.dummy_columns(df, cats).collect()] == [(1,), (0,), (0,)]
-    with pytest.raises(ValueError):
-        models.category_values(df, "c", limit=2)
+    many = spark.range(3000).selectExpr("concat('c', lpad(cast(id as string), 4, '0')) as c").union(spark.sql("select null"))
+    assert models.category_values(many, "c") == [f"c{i:04d}" for i in range(3000)]

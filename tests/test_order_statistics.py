@@ -2,7 +2,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from urbanflux.functions import order_statistics
 from urbanflux.functions.order_statistics import exact_quantile, exact_quantiles, score_curve
 from urbanflux.operators import splits
 from urbanflux.operators.evaluation import ranking_metrics
@@ -10,12 +9,6 @@ from urbanflux.operators.evaluation import ranking_metrics
 PROBS = (0.0, 0.01, 0.25, 0.5, 0.66, 0.99, 1.0)
 
 
-@pytest.fixture(autouse=True, params=[100_000, 20_000])
-def group_limit(request, monkeypatch):
-    """Both ways: groups ranked whole, and groups cut down by the sketch."""
-    monkeypatch.setattr(order_statistics, "WHOLE_GROUP", request.param)
-
-
 def check(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     row = exact_quantiles(df, ["v"], PROBS).first()
@@ -46,6 +39,25 @@ def test_quantiles_by_group_and_column_skip_nulls(spark):
     assert got == {("a", "x"): (2, 2.0), ("a", "y"): (1, 5.0), ("b", "x"): (1, 10.0), ("b", "y"): (2, 1.5)}
 
 
+def test_quantiles_of_many_rows(spark):
+    """Over a million rows, three fifths of them one value, in groups with a NULL key."""
+    df = spark.range(1_200_000).selectExpr(
+        "case when id % 3 < 2 then id % 3 end as g",
+        "case when id % 5 < 3 then 2.5D else cast((xxhash64(id) % 1000003) / 7 as double) end as v",
+    )
+    got = {r.g: [r.q0, r.q1, r.q2] for r in exact_quantiles(df, ["v"], (0.1, 0.5, 0.9), by=["g"]).collect()}
+    data = df.toPandas()
+    for g, part in data.groupby("g", dropna=False):
+        np.testing.assert_allclose(got[None if np.isnan(g) else g], np.quantile(part.v, (0.1, 0.5, 0.9)), rtol=1e-12)
+
+
+def test_quantiles_of_extreme_values(spark):
+    values = [float("-inf"), -1e308, -1e-308, -5e-324, 0.0, 5e-324, 1.0, float(np.nextafter(1.0, 2.0)), 2.0, 1e308, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    row = exact_quantiles(df, ["v"], [i / 10 for i in range(11)]).first()
+    assert [row[f"q{i}"] for i in range(1, 10)] == values[1:10]
+
+
 def test_scalar_quantile_of_nothing_is_null(spark):
     df = spark.createDataFrame([(1.0,)], "v double").where("v > 5")
     assert spark.range(1).select(exact_quantile(df, "v", 0.5)).first()[0] is None
@@ -97,3 +109,13 @@ def test_score_curve_totals(spark):
     df = spark.createDataFrame([(0.0, 1), (1.0, 0), (1.0, 1), (0.5, 0)], "s double, y int")
     rows = score_curve(df, "y", "s").orderBy(F.desc("score")).collect()
     assert [(r.score, r.cum_pos, r.cum_neg) for r in rows] == [(1.0, 1, 1), (0.5, 1, 2), (0.0, 2, 2)]
+
+
+def test_score_curve_inside_one_thousandth(spark):
+    df = spark.range(2000).selectExpr("0.5 + id / 4000000.0 as s", "cast(id % 3 = 0 as int) as y")
+    rows = score_curve(df, "y", "s").orderBy(F.desc("score")).collect()
+    pos = neg = 0
+    for r in rows:
+        pos, neg = pos + r.pos, neg + r.neg
+        assert (r.cum_pos, r.cum_neg) == (pos, neg)
+    assert (pos, neg) == (667, 1333) == (rows[0].total_pos, rows[0].total_neg)

@@ -64,6 +64,39 @@ def test_monthly_scan(spark, tmp_path):
         T.monthly_trips(spark, str(tmp_path), "yellow", [(2024, 1)])
 
 
+@pytest.mark.parametrize("fee_first", [True, False])
+def test_months_of_two_schemas_are_cleaned_apart(spark, sf, tmp_path, fee_first):
+    """A fee that one month has is in its prices and costs the other month no trip."""
+    from urbanflux.catalog import base as B
+    from urbanflux.plans import etl
+
+    raw = B.raw_fhvhv(spark, sf).where("month(pickup_datetime) = 1")
+    other = raw.withColumns({c: B.F.expr(f"{c} + interval 60 days") for c, k in raw.dtypes if k == "timestamp_ntz"})
+    with_fee = lambda df: df.withColumn("cbd_congestion_fee", B.F.lit(1.5)).withColumn("trip_time", B.F.col("trip_time").cast("int"))
+    first, second = (with_fee(raw), other) if fee_first else (raw, with_fee(other))
+    for month, rows in ((1, first), (3, second)):
+        rows.write.parquet(str(tmp_path / "fhvhv" / "2024" / f"x-2024-{month:02d}.parquet"))
+        rows.limit(1).write.parquet(str(tmp_path / "notfhvhv" / "2024" / f"x-2024-{month:02d}.parquet"))
+    assert len(T.monthly_scans(spark, str(tmp_path), "fhvhv", [(2024, 1), (2024, 3)])) == 2
+    clean = etl.clean_months(spark, str(tmp_path), ["fhvhv"], [(2024, 1), (2024, 3)])
+    got = {r.m: r for r in clean.groupBy(B.F.month("fecha_inicio").alias("m")).agg(
+        B.F.count("*").alias("n"), B.F.sum("precio_total_est").alias("s")).collect()}
+    assert got[1].n == got[3].n > 0
+    gap = got[1].s - got[3].s
+    assert gap == pytest.approx(1.5 * got[1].n * (1 if fee_first else -1))
+
+
+def test_shared_folder_is_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    from urbanflux.session import is_local, shared_folder
+
+    assert is_local("local") and is_local("local[*]") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))
+
+
 def test_present_columns(spark):
     assert T.present_columns(spark.range(1), ["x", "id"]).columns == ["id"]
     with pytest.raises(ValueError):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.demand import zone_hour_counts
+from ..plans import etl
 from ..plans.demand_report import demand_report
 from ..session import scratch_path
 from ..sources import dimensions as D
@@ -37,6 +38,55 @@ def monthly_scan(spark, sf):
     )
 
 
+@query("A1_months_of_two_schemas", """
+SELECT servicio, mes, count(*) AS viajes, sum(precio) AS importe, 0::BIGINT AS nulos FROM (
+  SELECT 'VTC' AS servicio, ("DOLocationID" % 2 * 2 + 1)::INTEGER AS mes,
+         base_passenger_fare + tolls + bcf + sales_tax + congestion_surcharge + ("DOLocationID" % 2) * 1.5::DOUBLE AS precio
+  FROM raw_fhvhv
+  WHERE dropoff_datetime > pickup_datetime AND trip_miles > 0.1::DOUBLE AND trip_miles < 200 AND k - 3 > 1 AND k - 3 < 180
+    AND "PULocationID" NOT IN (264, 265) AND "DOLocationID" NOT IN (264, 265) AND on_scene_datetime IS NOT NULL
+    AND base_passenger_fare > 0 AND base_passenger_fare < 500 AND trip_time > 30 AND trip_time < 21600
+    AND (k * 2) % 130 - 3 BETWEEN 0 AND 120 AND tolls >= 0
+    AND base_passenger_fare + tolls + bcf + sales_tax + congestion_surcharge + ("DOLocationID" % 2) * 1.5::DOUBLE < 500
+  UNION ALL
+  SELECT 'Yellow Taxi', ("DOLocationID" % 2 * 2 + 1)::INTEGER, total_amount FROM raw_yellow
+  WHERE tpep_dropoff_datetime > tpep_pickup_datetime AND trip_distance > 0.1::DOUBLE AND trip_distance < 200
+    AND date_diff('minute', tpep_pickup_datetime, tpep_dropoff_datetime) > 1
+    AND date_diff('minute', tpep_pickup_datetime, tpep_dropoff_datetime) < 180
+    AND "PULocationID" NOT IN (264, 265) AND "DOLocationID" NOT IN (264, 265)
+    AND passenger_count BETWEEN 0 AND 8 AND congestion_surcharge IS NOT NULL
+    AND fare_amount >= 0 AND fare_amount < 500 AND total_amount > 0 AND total_amount < 500
+) GROUP BY 1, 2
+""", "importe", 2)
+def months_of_two_schemas(spark, sf):
+    """Raw months of both services to the final table.
+
+    Trips to odd zones move two months on, into files that have a fee more and, for street
+    hails, whole passenger counts. Zone ids are those of the raw files.
+    """
+    root = scratch_path(spark, "two_schemas")
+    raws = {"yellow": B.raw_yellow(spark, sf), "fhvhv": B.raw_fhvhv(spark, sf)}
+    for service, raw in raws.items():
+        times = [c for c, kind in raw.dtypes if kind == "timestamp_ntz"]
+        early = raw.where("DOLocationID % 2 = 0")
+        late = raw.where("DOLocationID % 2 = 1").withColumns({c: F.col(c) + F.make_dt_interval(F.lit(60)) for c in times})
+        late = late.withColumn("cbd_congestion_fee", F.lit(1.5))
+        if service == "yellow":
+            late = late.withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+        for month, rows in ((1, early), (3, late)):
+            rows.write.parquet(f"{root}/{service}/2024/{service}_tripdata_2024-{month:02d}.parquet")
+    clean = etl.clean_months(spark, root, ["yellow", "fhvhv"], [(2024, 1), (2024, 3)])
+    dims = {
+        "zones": B.zones(spark, sf).withColumn("LocationID", F.col("LocationID") + 240), "weather": B.weather(spark, sf),
+        "holidays": B.holidays(spark, sf), "events": B.city_days(spark, sf),
+    }
+    final = etl.build_final_table(clean, dims, ["fecha_inicio", "origen_id", "destino_id", "distancia"])
+    empty = sum(F.count_if(F.col(c).isNull()) for c in ("precio_total_est", "propina", "num_pasajeros", "temp_c", "evento_tipo"))
+    return final.groupBy(F.col("tipo_vehiculo").alias("servicio"), F.col("mes_num").alias("mes")).agg(
+        F.count(F.lit(1)).alias("viajes"), F.sum("precio_total_est").alias("importe"), empty.alias("nulos")
+    )
+
+
 @query("A2_present_columns", "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders", "o_totalprice", 4)
 def present_columns(spark, sf):
     wanted = ["o_orderkey", "o_totalprice", "o_orderpriority", "o_missing"]

@@ -225,14 +225,14 @@ def _part(df, name):
     return df.where(F.col("split") == name)
 
 
-def _demand_model(rows, trees):
-    return models.fit_demand_forest(_part(rows, "train"), trees=trees)
+def _demand_model(rows):
+    return models.fit_demand_forest(_part(rows, "train"))
 
 
 @query("N2_demand_forest")
 def demand_forest(spark, sf):
     rows = _demand_rows(spark, sf)
-    model = _demand_model(rows, 200)
+    model = _demand_model(rows)
     test = models.predict(model, _part(rows, "test"), C.P1_FEATURES, "pred_rf")
     named = {"RandomForest": "pred_rf", "Naive": "demanda", "Media_hist": "media_hist"}
     return evaluation.compare_models({n: evaluation.regression_metrics(test, "target", p) for n, p in named.items()})
@@ -276,9 +276,8 @@ def tip_ridge(spark, sf):
 
 @query("N5_boosted_tips")
 def boosted_tips(spark, sf):
-    """A tenth of the default rounds, to keep the check short."""
     rows = _tip_rows(spark, sf)
-    model = models.fit_boosted_tips(_part(rows, "train"), rounds=20, depth=5)
+    model = models.fit_boosted_tips(_part(rows, "train"))
     fitted = models.predict(model, rows, C.P5_NUMERIC, "pred")
     return evaluation.regression_metrics(fitted, "propina", "pred", "gt05", by=["split"])
 
@@ -291,27 +290,27 @@ def feature_vectors(spark, sf):
     t = models.model_matrix(B.enriched(spark, sf), ("distancia", "duracion_min", "temp_c"))
     stages = models.feature_stages(("distancia", "duracion_min", "temp_c"), ("tipo_vehiculo", "origen_barrio"))
     vectors = Pipeline(stages=stages).fit(t).transform(t)
-    return vectors.select("id", F.size(vector_to_array("features")).alias("largo"), vector_to_array("features")[0].alias("distancia_std"))
+    return vectors.select("id", F.posexplode(vector_to_array("features")).alias("posicion", "valor"))
 
 
 @query("N15_feature_ranking")
 def feature_ranking(spark, sf):
     rows = _demand_rows(spark, sf)
-    model = _demand_model(rows, 20)
+    model = _demand_model(rows)
     return models.feature_ranking(model, models.model_matrix(rows, C.P1_FEATURES))
 
 
 @query("N17_refit")
 def refit(spark, sf):
     rows = _demand_rows(spark, sf)
-    model = models.refit(models.fit_demand_forest, _part(rows, "train"), _part(rows, "val"), trees=20)
+    model = models.refit(models.fit_demand_forest, _part(rows, "train"), _part(rows, "val"))
     test = models.predict(model, _part(rows, "test"), C.P1_FEATURES, "pred_rf")
     return evaluation.regression_metrics(test, "target", "pred_rf")
 
 
 def _taxi_models(spark, sf):
     """Demand forest, cascade feature, classifier and the taxi context."""
-    forest = _demand_model(_demand_rows(spark, sf), 20)
+    forest = _demand_model(_demand_rows(spark, sf))
     windows = written_table(feature_chain.with_cascade(_window_rows(spark, sf), forest), "cascade")
     classifier, dictionary, _, _ = _classifier(windows, with_cascade=True)
     ctx = written_table(context.context_table(_part(windows, "train"), C.CONTEXT_P2_MEANS), "context-taxi")

@@ -171,21 +171,20 @@ _REPORT_DOUBLES = "demanda_media demanda_mediana demanda_total demanda_hora_pico
 
 @query("C13_demand_query", f"""
 SELECT {_REPORT_COLS} FROM report WHERE contains(lower(origen_barrio), 'asia') AND franja_horaria = 'manana' AND demanda_media >= 1
-ORDER BY demanda_media DESC, origen_id, franja_horaria LIMIT 20
 """, _REPORT_DOUBLES)
 def demand_query(spark, sf):
     return demand.query_demand(report(spark, sf), zona="Ásia", franja="Mañana", demanda_min=1.0)
 
 
 @query("C13_demand_query_level", f"""
-SELECT {_REPORT_COLS} FROM report WHERE nivel_demanda = 'alta' ORDER BY demanda_media DESC, origen_id, franja_horaria LIMIT 20
+SELECT {_REPORT_COLS} FROM report WHERE nivel_demanda = 'alta'
 """, _REPORT_DOUBLES)
 def demand_query_level(spark, sf):
     return demand.query_demand(report(spark, sf), nivel="ALTA")
 
 
 @query("C14_demand_form", f"""
-SELECT {_REPORT_COLS} FROM report ORDER BY demanda_media DESC, origen_id, franja_horaria LIMIT 20
+SELECT {_REPORT_COLS} FROM report
 """, _REPORT_DOUBLES)
 def demand_form(spark, sf):
     """Empty form fields mean no filter."""

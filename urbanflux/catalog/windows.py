@@ -211,7 +211,7 @@ def sorted_write(spark, sf):
 SELECT {_REPORT_COLS} FROM report WHERE nivel_demanda = 'alta' ORDER BY demanda_media DESC, origen_id, franja_horaria LIMIT 20
 """, _REPORT_DOUBLES)
 def top_demand(spark, sf):
-    return demand.top_demand(report(spark, sf).where("nivel_demanda = 'alta'"))
+    return demand.top_demand(report(spark, sf).where("nivel_demanda = 'alta'"), 20)
 
 
 COMPARED_SQL = """

@@ -1,9 +1,10 @@
 """Exact order statistics without sorting or collecting the data in one place.
 
 The built-in ``percentile`` keeps every distinct value of a group in one buffer,
-which is fine for summaries (a few rows per group) and wrong for trips. Here a
-bounded sketch brackets each wanted rank, one pass counts everything outside the
-brackets and keeps the few distinct values inside, and only those are ranked.
+which is fine for summaries (a few rows per group) and wrong for trips. Here values
+are counted per cell of a fixed logarithmic grid, which gives the exact rank of every
+cell's edges; only the values of the cells that hold a wanted rank are counted one by
+one, and only those of one narrow bin are ranked. Every size takes the same two passes.
 """
 
 from __future__ import annotations
@@ -14,14 +15,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import closed_domain
+from ..session import closed_domain, written_table
 
-_ACCURACY = 10_000
-_SLACK = 3.0 / _ACCURACY
+# cells per doubling of a value; an offset above the cells of the smallest double
+_CELLS = 256
+_OFFSET = 300_000
 _BINS = 1024
-# up to this many values a group is ranked whole; beyond it the slack of the brackets
-# exceeds the error of the sketch by many ranks
-WHOLE_GROUP = 100_000
+
+
+def _cell(value: Column) -> Column:
+    """Number of the grid cell of a double; never falls as the value rises."""
+    size = F.abs(value)
+    step = F.floor(F.log2(size) * _CELLS) + _OFFSET
+    cell = F.when(size == float("inf"), F.lit(2 * _OFFSET)).otherwise(step)
+    cell = F.when(value < 0, -cell).when(value == 0, F.lit(0)).otherwise(cell)
+    return F.when(F.isnan(value), F.lit(3 * _OFFSET)).otherwise(cell).cast("int")
 
 
 def exact_quantiles(
@@ -33,9 +41,11 @@ def exact_quantiles(
     """Linear-interpolated quantiles, one row per group and column.
 
     Returns ``by..., variable, n, q0, q1, ...`` with one ``q`` per entry of
-    ``probs``; NULLs are ignored. ``by`` must be keys of a closed domain (service,
-    month, zone class, ...): the brackets, one row per group and column, travel to
-    every task.
+    ``probs``; NULLs are ignored and a group or column without values has no row. NaN
+    counts as the largest value. ``by`` may be any columns. The cells that hold a wanted
+    rank are a stored table, two at most per group, column and entry of ``probs``, so
+    that Catalyst sends them to every task only if they are few. Cells that overlap,
+    which a grid that is not monotone would have, raise an error instead of a wrong rank.
     """
     by = list(by)
     probs = sorted(float(p) for p in probs)
@@ -44,73 +54,51 @@ def exact_quantiles(
     entries = F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("valor")) for c in columns
     ])
-    values = df.select(*by, F.inline(entries)).where(F.col("valor").isNotNull())
-
-    low = [max(p - _SLACK, 0.0) for p in probs]
-    high = [min(p + _SLACK, 1.0) for p in probs]
-    sketch = values.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("valor").alias("_min"),
-        F.max("valor").alias("_max"),
-        F.percentile_approx("valor", F.array(*[F.lit(p) for p in low]), _ACCURACY).alias("_lo"),
-        F.percentile_approx("valor", F.array(*[F.lit(p) for p in high]), _ACCURACY).alias("_hi"),
-    )
-    whole = F.col("n") <= WHOLE_GROUP
-    brackets = sketch.select(
-        *keys,
-        F.col("n"),
-        F.array(*[
-            F.col("_min") if p == 0.0 else F.when(whole, F.col("_min")).otherwise(F.get("_lo", F.lit(i)))
-            for i, p in enumerate(low)
-        ]).alias("_lo"),
-        F.array(*[
-            F.col("_max") if p == 1.0 else F.when(whole, F.col("_max")).otherwise(F.get("_hi", F.lit(i)))
-            for i, p in enumerate(high)
-        ]).alias("_hi"),
-    )
-
-    # gap number = brackets that end below the value; inside the next bracket the
-    # value keeps itself and falls into one of its equal-width bins
-    placed = values.join(closed_domain(brackets), keys).withColumn(
-        "_gap", F.size(F.filter("_hi", lambda h: h < F.col("valor")))
-    )
-    lo, hi = F.get("_lo", F.col("_gap")), F.get("_hi", F.col("_gap"))
-    inside = F.coalesce(F.col("valor") >= lo, F.lit(False))
-    bin_no = F.coalesce(F.try_divide((F.col("valor") - lo) * _BINS, hi - lo), F.lit(0.0)).cast("int")
-    counted = (
-        placed.select(
-            *keys,
-            "_gap",
-            F.when(inside, bin_no).otherwise(-1).alias("_bin"),
-            F.when(inside, F.col("valor")).alias("valor"),
-        )
-        .groupBy(*keys, "_gap", "_bin", "valor")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
+    values = df.select(*by, F.inline(entries)).where(F.col("valor").isNotNull()).withColumn("_cell", _cell(F.col("valor")))
 
-    # where each wanted rank falls: at most probs * (bins + 1) rows per group
-    cells = counted.groupBy(*keys, "_gap", "_bin").agg(F.sum("c").alias("c"))
-    order = Window.partitionBy(*keys).orderBy("_gap", "_bin")
-    total = F.sum("c").over(Window.partitionBy(*keys))
+    groups = Window.partitionBy(*keys)
+    upward = groups.orderBy("_cell")
     ranks = F.array(*[
         rank for p in probs for rank in (
             F.floor((F.col("n") - 1) * F.lit(p)), F.ceil((F.col("n") - 1) * F.lit(p))
         )
     ])
-    cells = (
-        cells.withColumn("n", total)
-        .withColumn("_below", F.sum("c").over(order) - F.col("c"))
-        .withColumn("_rank", F.explode(F.array_distinct(ranks)))
-        .where((F.col("_rank") >= F.col("_below")) & (F.col("_rank") < F.col("_below") + F.col("c")))
-        .select(*keys, "_gap", "_bin", "_rank", "_below", "n")
+    cells = values.groupBy(*keys, "_cell").agg(
+        F.count(F.lit(1)).alias("c"), F.min("valor").alias("_lo"), F.max("valor").alias("_hi")
+    )
+    below = F.sum("c").over(upward) - F.col("c")
+    apart = F.coalesce(F.lag("_hi").over(upward) < F.col("_lo"), F.lit(True))
+    checked = F.when(apart, below).otherwise(F.raise_error(F.lit("cells of the quantile grid overlap")).cast("bigint"))
+    hits = (
+        cells.withColumns({"n": F.sum("c").over(groups), "_below": checked})
+        .withColumn("_ranks", F.filter(
+            F.array_distinct(ranks), lambda r: (r >= F.col("_below")) & (r < F.col("_below") + F.col("c"))
+        ))
+        .where(F.size("_ranks") > 0)
+        .drop("c")
+    )
+    hits = written_table(hits, "quantile_cells")
+
+    # the values of the hit cells, counted one by one inside equal-width bins of the cell
+    same = F.col("_c") == F.col("_cell")
+    for k in keys:
+        same = same & F.col(f"_k_{k}").eqNullSafe(F.col(k))
+    found = hits.withColumnsRenamed({"_cell": "_c", **{k: f"_k_{k}" for k in keys}})
+    bin_no = F.try_divide((F.col("valor") - F.col("_lo")) * _BINS, F.col("_hi") - F.col("_lo"))
+    inside = values.join(found, same).withColumn("_bin", F.coalesce(F.nanvl(bin_no, F.lit(0.0)), F.lit(0.0)).cast("int"))
+    counted = inside.groupBy(*keys, "_cell", "_bin", "valor", "n", "_below", "_ranks").agg(F.count(F.lit(1)).alias("c"))
+    counted = written_table(counted, "quantile_values")
+    bins = counted.groupBy(*keys, "_cell", "_bin").agg(F.sum("c").alias("_held"))
+    ahead = F.sum("_held").over(Window.partitionBy(*keys, "_cell").orderBy("_bin")) - F.col("_held")
+    bins = bins.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_cell").alias("_c"), F.col("_bin").alias("_b"), ahead.alias("_ahead")
     )
-    within = Window.partitionBy(*keys, "_rank").orderBy("valor")
+    placed = counted.join(bins, same & (F.col("_b") == F.col("_bin")))
+    upto = F.sum("c").over(Window.partitionBy(*keys, "_cell", "_bin").orderBy("valor"))
     picked = (
-        counted.join(closed_domain(cells), [*keys, "_gap", "_bin"])
-        .withColumn("_upto", F.col("_below") + F.sum("c").over(within))
-        .where(F.col("_upto") > F.col("_rank"))
-        .groupBy(*keys, "n", "_rank")
-        .agg(F.min("valor").alias("valor"))
+        placed.withColumn("_upto", F.col("_below") + F.col("_ahead") + upto)
+        .withColumn("_rank", F.explode("_ranks"))
+        .where((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("c") <= F.col("_rank")))
     )
 
     by_rank = F.map_from_entries(F.collect_list(F.struct("_rank", "valor")))
@@ -118,9 +106,9 @@ def exact_quantiles(
     out = []
     for i, p in enumerate(probs):
         position = (F.col("n") - 1) * F.lit(p)
-        below = F.element_at("_values", F.floor(position))
-        above = F.element_at("_values", F.ceil(position))
-        out.append((below + (above - below) * (position - F.floor(position))).alias(f"q{i}"))
+        low = F.element_at("_values", F.floor(position))
+        high = F.element_at("_values", F.ceil(position))
+        out.append((low + (high - low) * (position - F.floor(position))).alias(f"q{i}"))
     return rows.select(*keys, "n", *out)
 
 
@@ -177,29 +165,30 @@ def keys_at_ranks(
 def score_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """Positives and negatives per distinct score with totals of all higher scores.
 
-    Scores lie in [0, 1]. Rows are first counted per score, then accumulated in two
-    steps (over score bins, then inside each bin), so no task sees all scores.
+    Rows are first counted per score. The distinct scores are then dealt by range, each
+    range with about as many of them wherever the scores lie, and accumulated in two
+    steps: over the ranges, then inside each.
     """
-    bins = 4096
     per_score = (
         df.select(F.col(score).cast("double").alias("score"), F.col(label).cast("int").alias("y"))
         .where(F.col("score").isNotNull() & F.col("y").isNotNull())
         .groupBy("score")
         .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-        .withColumn("_bin", F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int"))
     )
-    above = Window.partitionBy().orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
-    totals = per_score.groupBy("_bin").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
+    dealt = per_score.repartitionByRange(F.desc("score")).withColumn("_range", F.spark_partition_id())
+    dealt = written_table(dealt, "scores")
+    above = Window.partitionBy().orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy("_range").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
     offsets = totals.select(
-        "_bin",
+        "_range",
         F.coalesce(F.sum("bp").over(above), F.lit(0)).alias("_op"),
         F.coalesce(F.sum("bn").over(above), F.lit(0)).alias("_on"),
         F.sum("bp").over(Window.partitionBy()).alias("total_pos"),
         F.sum("bn").over(Window.partitionBy()).alias("total_neg"),
     )
-    higher = Window.partitionBy("_bin").orderBy(F.desc("score"))
+    higher = Window.partitionBy("_range").orderBy(F.desc("score"))
     return (
-        per_score.join(closed_domain(offsets), "_bin")
+        dealt.join(offsets, "_range")
         .withColumn("cum_pos", F.col("_op") + F.sum("pos").over(higher))
         .withColumn("cum_neg", F.col("_on") + F.sum("neg").over(higher))
         .select("score", "pos", "neg", "cum_pos", "cum_neg", "total_pos", "total_neg")

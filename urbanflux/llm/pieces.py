@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 #: Characters of text cut together; a longer text is cut alone.
-CHARACTERS = 4_000_000
+CHARACTERS = 1_500_000
 #: Log weight of each byte of a character that no piece has.
 BYTE_WEIGHT = -12.0
 SPACE = "▁"
@@ -272,10 +272,8 @@ def encode_pieces(text: Column, key: Column, vocabulary: str, seed: int = 7, sha
         for texts, keys in batches:
             t = [x or "" for x in texts]
             k = keys.tolist()
-            out: list[bytes] = []
             for lo, hi in _parts(t):
-                out += encode_batch(t[lo:hi], k[lo:hi], held, seed)
-            yield pd.Series(out, index=texts.index, dtype=object)
+                yield pd.Series(encode_batch(t[lo:hi], k[lo:hi], held, seed), dtype=object)
 
     return run.asNondeterministic()(text, F.coalesce(key.cast("string"), F.lit("")))
 

@@ -6,6 +6,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,10 +24,11 @@ from urbanflux.llm.dac import Codes, pack
 END_ID = 0
 #: Characters of text that are split and looked up together.
 CHARACTERS = 4_000_000
-#: Encoded words that a worker remembers; beyond, it starts anew.
-REMEMBERED = 600_000
-#: A blank that does not stand between two visible characters.
-_ODD_BLANK = re.compile(r"\s | \s|^ | $")
+#: Encoded words of a worker's newer generation; once it is full it becomes the older one.
+REMEMBERED = 300_000
+#: A blank that does not stand between two visible characters; any white space of Unicode counts.
+_WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_ODD_BLANK = f"{_WHITE} | {_WHITE}|^ | $"
 
 
 def store(path: str) -> tuple[fs.FileSystem, str]:
@@ -56,25 +58,51 @@ class Encoder:
         size = self.tokenizer.get_vocab_size(True)
         self.blank = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.remembered: dict[str, bytes] = {}
+        self.newline = int(self.tokenizer.token_to_id("Ċ"))
+        # Two generations: a word still in use moves to the newer one, the others are dropped with the older.
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _learn(self, words: list[str]) -> None:
         """Remember the ids of `` word`` for each word."""
-        for lo in range(0, len(words), 2000):
-            part = words[lo : lo + 2000]
+        if len(self.newer) > REMEMBERED:
+            self.older, self.newer = self.newer, {}
+        unknown = []
+        for w in words:
+            if w not in self.newer:
+                ids = self.older.get(w)
+                if ids is None:
+                    unknown.append(w)
+                else:
+                    self.newer[w] = ids
+        for lo in range(0, len(unknown), 2000):
+            part = unknown[lo : lo + 2000]
             ids = self._ids(" " + " ".join(part))
             cuts = np.flatnonzero(self.blank[ids]).tolist() + [len(ids)]
             if len(cuts) != len(part) + 1:
                 raise AssertionError("words and ids don't match")
+            data = ids.tobytes()
             for word, a, b in zip(part, cuts, cuts[1:]):
-                self.remembered[word] = ids[a:b].tobytes()
+                self.newer[word] = data[4 * a : 4 * b]
+
+    def _openings(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of words that begin a text, all in one call with a line break between them."""
+        apart = [w for w in words if not w or w != "".join(w.split())]
+        if apart:
+            return [self._ids(w) for w in words]
+        ids = self._ids("\n".join(words))
+        cuts = np.flatnonzero(ids == self.newline)
+        if len(cuts) != len(words) - 1:
+            raise AssertionError("words and ids don't match")
+        return np.split(ids, np.stack([cuts, cuts + 1], 1).ravel())[::2]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        plain = [not _ODD_BLANK.search(t) and bool(t) and not any(s in t for s in self.special) for t in texts]
+        odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), _ODD_BLANK).to_pylist()
+        plain = [bool(t) and not o and not any(s in t for s in self.special) for t, o in zip(texts, odd)]
         out: list[np.ndarray | None] = [None if p else self._ids(t) for p, t in zip(plain, texts)]
         rows = [i for i, p in enumerate(plain) if p]
         if rows:
@@ -87,10 +115,8 @@ class Encoder:
         offsets = split.offsets.to_numpy()
         coded = split.flatten().dictionary_encode()
         words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if len(self.remembered) + len(words) > REMEMBERED:
-            self.remembered = {}
-        self._learn([w for w in words if w not in self.remembered])
-        held = list(map(self.remembered.__getitem__, words))
+        self._learn(words)
+        held = list(map(self.newer.__getitem__, words))
         pool = np.frombuffer(b"".join(held), "<u4")
         sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
         begins = np.cumsum(sizes) - sizes
@@ -98,12 +124,16 @@ class Encoder:
         ends = np.cumsum(n)
         ids = pool[np.arange(ends[-1]) + np.repeat(begins[at] - (ends - n), n)]
         bounds = np.concatenate([[0], ends])[offsets]
-        found = []
-        for text, a, b, word in zip(texts, bounds, bounds[1:], offsets):
-            # The first word has no blank before it.
-            first = text.split(" ", 1)[0]
-            found.append(np.concatenate([self._ids(first), ids[a + n[word] : b]]))
-        return found
+        # The first word has no blank before it.
+        openings = self._openings([t.split(" ", 1)[0] for t in texts])
+        begins = bounds[:-1] + n[offsets[:-1]]
+        return [np.concatenate([o, ids[a:b]]) for o, a, b in zip(openings, begins, bounds[1:])]
+
+
+@lru_cache(maxsize=2)
+def _encoder(vocabulary: str) -> Encoder:
+    """One per worker process: later tasks find the words of earlier ones."""
+    return Encoder(vocabulary)
 
 
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -130,7 +160,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str) -> DataFram
     target = folder.rstrip("/")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(vocabulary)
+        encoder = _encoder(vocabulary)
         doc_ids, known, ids, sizes = [], [], [], []
         for batch in batches:
             texts = batch["text"].tolist()

@@ -176,10 +176,10 @@ def query_demand(
     nivel: str | None = None,
     demanda_min: float | None = None,
     demanda_max: float | None = None,
-    top: int = 20,
+    top: int | None = None,
     require_filter: bool = True,
 ) -> DataFrame:
-    """Filter the zone by band table and rank it by mean demand.
+    """Filter the zone by band table; with ``top`` only its rows of highest mean demand, in order.
 
     ``zona`` is an id or a text found in zone, borough or service zone, ignoring
     case and accents. With ``require_filter=False`` empty texts mean no filter.
@@ -211,9 +211,9 @@ def query_demand(
         out = out.where(F.col("demanda_media") >= float(demanda_min))
     if demanda_max is not None:
         out = out.where(F.col("demanda_media") <= float(demanda_max))
-    return top_demand(out, top)
+    return out if top is None else top_demand(out, top)
 
 
-def top_demand(summary: DataFrame, top: int = 20) -> DataFrame:
+def top_demand(summary: DataFrame, top: int) -> DataFrame:
     """Highest mean demand first; zone and band settle ties."""
     return summary.orderBy(F.desc("demanda_media"), "origen_id", "franja_horaria").limit(int(top))

@@ -39,12 +39,10 @@ def encode_labels(df: DataFrame, dictionary: DataFrame, column: str, name: str,
     )
 
 
-def category_values(train: DataFrame, column: str, limit: int = 1000) -> list[str]:
-    """Sorted categories of a bounded column; more than ``limit`` is an error."""
-    rows = train.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).toPandas()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} categories")
-    return sorted(rows[column])
+def category_values(train: DataFrame, column: str) -> list[str]:
+    """Sorted categories of a column, as a fitted indexer has them."""
+    indexer = StringIndexer(inputCol=column, outputCol="_i", stringOrderType="alphabetAsc", handleInvalid="skip")
+    return list(indexer.fit(train).labels)
 
 
 def dummy_columns(df: DataFrame, categories: dict[str, list[str]]) -> DataFrame:

@@ -68,7 +68,7 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ])))
     outside = (F.col("valor") < F.col("inferior")) | (F.col("valor") > F.col("superior"))
     return (
-        values.join(closed_domain(q), "variable")
+        values.join(F.broadcast(q), "variable")  # one row per named column
         .groupBy("variable", "inferior", "superior")
         .agg(F.count_if(outside).alias("atipicos"), F.count(F.lit(1)).alias("_n"))
         .select("variable", "inferior", "superior", "atipicos", (F.col("atipicos") / F.col("_n") * 100.0).alias("pct"))

@@ -12,7 +12,7 @@ from .. import contract as C
 from ..functions import columns as X
 from ..functions.moments import normal_interval
 from ..functions.order_statistics import exact_quantiles
-from ..session import closed_domain
+from ..session import written_table
 from .cleaning import trim_above
 
 SERVICE = "tipo_vehiculo"
@@ -119,11 +119,11 @@ def speed_by_hour(trips: DataFrame, borough: str | None = None, min_minutes: flo
     )
 
 
-def borough_suggestions(zones: DataFrame, borough: str, k: int = 20) -> DataFrame:
+def borough_suggestions(zones: DataFrame, borough: str) -> DataFrame:
     """Borough names that contain the text, for an unknown borough."""
     names = zones.select(F.trim("Borough").alias("barrio")).where(F.col("barrio").isNotNull()).distinct()
     hit = F.contains(F.lower("barrio"), F.lower(F.trim(F.lit(borough))))
-    return names.where(hit).orderBy("barrio").limit(k)
+    return names.where(hit)
 
 
 def price_per_mile_by(trips: DataFrame, key: Column) -> DataFrame:
@@ -262,7 +262,7 @@ def histogram(trips: DataFrame, column: str, bins: int = 60, by: str | None = SE
     edges = values.groupBy("grupo").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("n"))
     width = (F.col("hi") - F.col("lo")) / bins
     bin_no = F.least(F.floor(F.coalesce(F.try_divide(F.col("v") - F.col("lo"), width), F.lit(0.0))), F.lit(bins - 1))
-    placed = values.join(closed_domain(edges), "grupo").withColumn("bin", bin_no.cast("int"))
+    placed = values.join(written_table(edges, "histogram_edges"), "grupo").withColumn("bin", bin_no.cast("int"))
     return placed.groupBy("grupo", "lo", "hi", "n", "bin").agg(trip_count("casos")).select(
         "grupo", "bin",
         (F.col("lo") + F.col("bin") * width).alias("desde"),
@@ -274,12 +274,12 @@ def histogram(trips: DataFrame, column: str, bins: int = 60, by: str | None = SE
 def box_summary(trips: DataFrame, column: str, by: str) -> DataFrame:
     """Quartiles, whiskers at the last value within 1.5 ranges, and points beyond."""
     values = trips.select(F.col(by), F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    q = exact_quantiles(values, ["v"], (0.25, 0.5, 0.75), by=[by]).select(
+    q = written_table(exact_quantiles(values, ["v"], (0.25, 0.5, 0.75), by=[by]).select(
         by, F.col("q0").alias("q1"), F.col("q1").alias("mediana"), F.col("q2").alias("q3")
-    )
+    ), "quartiles")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("v").between(F.col("q1") - reach, F.col("q3") + reach)
-    return values.join(closed_domain(q), by).groupBy(by, "q1", "mediana", "q3").agg(
+    return values.join(q, by).groupBy(by, "q1", "mediana", "q3").agg(
         F.min(F.when(inside, F.col("v"))).alias("bigote_bajo"),
         F.max(F.when(inside, F.col("v"))).alias("bigote_alto"),
         F.count_if(~inside).alias("atipicos"),

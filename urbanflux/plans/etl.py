@@ -14,15 +14,21 @@ from ..operators.cleaning import clean_trips
 from ..operators.enrichment import enrich_trips
 from ..operators.imputation import final_trips
 from ..operators.splits import fraction_sample
+from ..session import written_table
 from ..sources.sinks import write_trips
-from ..sources.trips import monthly_trips
+from ..sources.trips import monthly_scans
 
 
 def clean_months(
     spark: SparkSession, root: str, services: Sequence[str], months: Sequence[tuple[int, int]]
 ) -> DataFrame:
-    """Clean trips of all services and months as one table; columns a service lacks are NULL."""
-    parts = [_clean_one(monthly_trips(spark, root, service, months), service) for service in services]
+    """Clean trips of all services and months as one table; columns a file lacks are NULL.
+
+    Files of one schema are cleaned together and the results put together by name
+    afterwards: a fee that only some months have counts there and nowhere else, and no
+    trip is dropped for a column that its own file never had.
+    """
+    parts = [_clean_one(raw, service) for service in services for raw in monthly_scans(spark, root, service, months)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -34,17 +40,21 @@ def _clean_one(raw: DataFrame, service: str) -> DataFrame:
 
 
 def build_final_table(
-    clean: DataFrame, dims: Mapping[str, DataFrame], key: Sequence[str], percent: int = 40
+    clean: DataFrame, dims: Mapping[str, DataFrame], key: Sequence[str], percent: int = 100
 ) -> DataFrame:
-    """Sampled, enriched and imputed trips."""
+    """Enriched and imputed trips, of a sample if ``percent`` asks for one.
+
+    The enriched trips are written once: imputation reads them several times, and none
+    of its passes replays scan, cleaning and joins.
+    """
     sampled = fraction_sample(clean, percent, *key) if percent < 100 else clean
     rich = enrich_trips(sampled, dims["zones"], dims["weather"], dims["holidays"], dims["events"])
-    return final_trips(rich, list(key))
+    return final_trips(written_table(rich, "enriched_trips"), list(key))
 
 
 def run(
     spark: SparkSession, root: str, out: str, services: Sequence[str], months: Sequence[tuple[int, int]],
-    dims: Mapping[str, DataFrame], key: Sequence[str], percent: int = 40,
+    dims: Mapping[str, DataFrame], key: Sequence[str], percent: int = 100,
 ) -> None:
     clean = clean_months(spark, root, services, months)
     write_trips(build_final_table(clean, dims, key, percent), out)

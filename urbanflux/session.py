@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -28,16 +29,24 @@ def build_session(app_name: str = "urbanflux", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a session without that
-    setting (a test on one machine) gets a folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session without that
+    setting (a test on one machine) gets a folder of its own; on a cluster a local
+    folder would lose what other machines write, so a missing setting is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="urbanflux-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -45,7 +54,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/urbanflux/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/urbanflux/{spark.sparkContext.applicationId}"
 
 
 def written_table(df: DataFrame, name: str) -> DataFrame:
@@ -60,6 +73,12 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_written_tables(spark: SparkSession) -> None:
+    """Remove the stage tables that this application wrote to the shared folder; none may be in use."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Several small stage tables, their jobs submitted side by side."""
     with ThreadPoolExecutor(max_workers=max(len(tables), 1)) as pool:

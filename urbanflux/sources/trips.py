@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,44 +13,67 @@ from pyspark.sql.window import Window
 _MONTH_IN_PATH = r"(\d{4})-(\d{2})\.parquet"
 
 
-def monthly_trips(
-    spark: SparkSession, root: str, service: str, months: Iterable[tuple[int, int]], merge_schema: bool = False
-) -> DataFrame:
-    """Trips of the wanted (year, month) pairs under ``root/service/year/*YYYY-MM.parquet``.
+def monthly_scans(
+    spark: SparkSession, root: str, service: str, months: Iterable[tuple[int, int]]
+) -> list[DataFrame]:
+    """One scan per distinct file schema of the wanted (year, month) pairs of a service.
 
-    Folders may also be written as ``name=value``. The year folder and the month suffix select files by path, so other months are
-    never listed into the scan. Adds ``anio_archivo`` and ``mes_archivo``. No file at
-    all raises with the months that do exist. ``merge_schema`` also reads columns that
-    only some months have, at the cost of opening every footer.
+    Files are ``root/service/year/*YYYY-MM.parquet``; folders may also be written as
+    ``name=value``. The year folder and the month suffix select files by path, so other
+    months are never listed into a scan. Months may differ in their columns and types;
+    each scan reads the columns that its files have. Adds ``anio_archivo``,
+    ``mes_archivo`` and ``servicio``. No file at all raises with the months that do exist.
     """
     wanted = sorted(set(months))
     years = sorted({y for y, _ in wanted})
     names = "{" + ",".join(f"*{y:04d}-{m:02d}.parquet" for y, m in wanted) + "}"
-    folders = "{" + ",".join(f"*{y:04d}" for y in years) + "}"
-    pattern = f"{root}/*{service}/{folders}/{names}"
-    jvm = spark.sparkContext._jvm
-    glob = jvm.org.apache.hadoop.fs.Path(pattern)
-    files = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob)
+    folders = "{" + ",".join(f"{p}{y:04d}" for y in years for p in ("", "*=")) + "}"
+    files = _listed(spark, f"{root}/{_service_folders(service)}/{folders}/{names}")
     if not files:
         have = ", ".join(f"{y}-{m:02d}" for y, m in available_months(spark, root, service)) or "none"
         raise FileNotFoundError(f"no {service} file for {wanted}; available months: {have}")
-    trips = spark.read.option("mergeSchema", merge_schema).parquet(pattern)
+    by_schema: dict[str, tuple] = {}
+    for file in files:
+        schema = spark.read.parquet(file).schema
+        by_schema.setdefault(schema.json(), (schema, []))[1].append(file)
     path = F.col("_metadata.file_path")
-    return trips.select(
-        "*",
-        F.regexp_extract(path, _MONTH_IN_PATH, 1).cast("int").alias("anio_archivo"),
-        F.regexp_extract(path, _MONTH_IN_PATH, 2).cast("int").alias("mes_archivo"),
-        F.lit(service).alias("servicio"),
-    )
+    return [
+        spark.read.schema(schema).parquet(*same).select(
+            "*",
+            F.regexp_extract(path, _MONTH_IN_PATH, 1).cast("int").alias("anio_archivo"),
+            F.regexp_extract(path, _MONTH_IN_PATH, 2).cast("int").alias("mes_archivo"),
+            F.lit(service).alias("servicio"),
+        )
+        for schema, same in by_schema.values()
+    ]
 
 
-def available_months(spark: SparkSession, root: str, service: str) -> list[tuple[int, int]]:
-    """(year, month) pairs of a service, from the file listing alone."""
-    import re
+def monthly_trips(
+    spark: SparkSession, root: str, service: str, months: Iterable[tuple[int, int]]
+) -> DataFrame:
+    """The scans of ``monthly_scans`` as one table; a column that a month lacks is NULL there.
+
+    For raw tables of like types. Cleaning takes the scans one by one, because its
+    rules depend on the columns that a file has.
+    """
+    scans = monthly_scans(spark, root, service, months)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
+def _service_folders(service: str) -> str:
+    return "{" + f"{service},*={service}" + "}"
+
 
-    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/*{service}/*/*.parquet")
+def _listed(spark: SparkSession, pattern: str) -> list[str]:
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     found = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob) or []
-    hits = (re.search(_MONTH_IN_PATH, str(f.getPath().getName())) for f in found)
+    return sorted(f.getPath().toString() for f in found)
+
+
+def available_months(spark: SparkSession, root: str, service: str) -> list[tuple[int, int]]:
+    """(year, month) pairs of a service, from the file listing alone."""
+    files = _listed(spark, f"{root}/{_service_folders(service)}/*/*.parquet")
+    hits = (re.search(_MONTH_IN_PATH, f) for f in files)
     return sorted((int(h.group(1)), int(h.group(2))) for h in hits if h)
 
 
