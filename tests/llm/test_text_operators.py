@@ -174,8 +174,8 @@ def best_by_hand(rows, k=20):
     return out
 
 
-@pytest.mark.parametrize("n, scale", [(700, 1.0), (15, 1.0), (300, 1e6), (120, 1e7)])
-def test_top_k(spark, monkeypatch, n, scale):
+@pytest.mark.parametrize("n, scale, k", [(700, 1.0, 20), (700, 1.0, 45), (700, 1.0, 3), (15, 1.0, 20), (300, 1e6, 20), (120, 1e7, 20)])
+def test_top_k(spark, monkeypatch, n, scale, k):
     monkeypatch.setattr(topk, "BLOCK", 8)
     monkeypatch.setattr(topk, "CHUNK", 64)
     rng = np.random.default_rng(n)
@@ -184,8 +184,8 @@ def test_top_k(spark, monkeypatch, n, scale):
     rows += [(3000, None), (3020, []), (3040, [1.0, None, 2.0]), (3060, [float("nan"), 1.0, 1.0]), (3080, [float("inf"), 0.0, 0.0]),
              (None, [1.0, 1.0, 1.0]), (3100, [1.0, 2.0]), (20, [0.1, 0.2, 0.3])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"label": F.lit(1), "score": F.lit("s"), "place": F.lit(0)})
-    got = {(r.query_id, r.rank, r.vec_id, r.score) for r in top_k(df).collect()}
-    assert got == best_by_hand(rows)
+    got = {(r.query_id, r.rank, r.vec_id, r.score) for r in top_k(df, k=k).collect()}
+    assert got == best_by_hand(rows, k)
 
 
 def test_top_k_of_nothing(spark):

@@ -58,7 +58,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return scores[order], ids[order]
 
 
-def _chunks(query_of) -> object:
+def _chunks(query_of, k: int) -> object:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """One row per chunk: its vectors, and its queries with the k-th score among the chunk's other vectors."""
         for batch in batches:
@@ -68,10 +68,10 @@ def _chunks(query_of) -> object:
                 matrix = np.array([m["vector"] for m in members], np.int64)
                 asked = np.flatnonzero(query_of(ids))
                 known = np.full(len(asked), np.iinfo(np.int64).min)
-                if len(asked) and len(ids) > K:
+                if len(asked) and len(ids) > k:
                     scores = _products(matrix[asked], matrix)
                     scores[np.arange(len(asked)), asked] = np.iinfo(np.int64).min
-                    known = np.partition(scores, len(ids) - K, axis=1)[:, len(ids) - K]
+                    known = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
                 row, queries = _packed(matrix), _packed(matrix[asked])
                 yield pd.DataFrame([{
                     "chunk": chunk, "ids": ids.tobytes(), "kind": row["kind"], "values": row["values"],
@@ -165,7 +165,7 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
     placed = ranked(rows, [], ["_term", "vec_id"], "_place").withColumn("place", F.col("_place") - 1)
     grouped = placed.groupBy(F.floor(F.col("place") / CHUNK).alias("chunk"))
     grouped = grouped.agg(F.collect_list(F.struct("place", "vec_id", "vector")).alias("members"))
-    chunks = written_table(grouped.mapInPandas(_chunks(lambda ids: ids % every == 0), _CHUNK_SCHEMA), "chunks")
+    chunks = written_table(grouped.mapInPandas(_chunks(lambda ids: ids % every == 0, k), _CHUNK_SCHEMA), "chunks")
     part = F.struct("query_ids", "query_kind", "query_values", "known")
     groups = chunks.groupBy(F.floor(F.col("chunk") / GROUP).alias("group")).agg(F.collect_list(part).alias("queries"))
     groups = groups.select("queries", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(chunks.count() - 1, 0)).cast("long"))).alias("chunk"))
