@@ -82,3 +82,12 @@ def test_trip_inputs_add_historical_extras(spark):
     out = scoring.trip_inputs(req, ctx).orderBy("origen_id").collect()
     assert (out[0].precio_total_est, out[0].tipo_vehiculo, out[0].distancia) == (33.0, "VTC", 2.0)
     assert (out[1].precio_total_est, out[1].tipo_vehiculo, out[1].distancia, out[1].origen_zona) == (32.0, "x", 3.0, "desconocido")
+
+
+def test_modes_and_means_of_combinations(spark):
+    """Modes are counted over all combinations; ties go to the smallest, unknown texts do not count."""
+    rows = [(1, "a", "x", 1.0), (1, "a", "y", 2.0), (1, "b", "x", None), (1, None, "x", 4.0), (1, "b", None, 5.0), (2, None, None, None)]
+    df = spark.createDataFrame(rows, "k int, s string, t string, v double")
+    got = {r.k: r for r in context.context_table(df, ["v"], ["s", "t"], keys=["k"]).collect()}
+    assert (got[1].v, got[1]._n_contexto, got[1].s, got[1].t) == (3.0, 5, "a", "x")
+    assert (got[2].v, got[2]._n_contexto, got[2].s, got[2].t) == (None, 1, None, None)

@@ -68,3 +68,13 @@ def test_dummies(spark):
     assert [tuple(r) for r in models.dummy_columns(df, cats).collect()] == [(1,), (0,), (0,)]
     many = spark.range(3000).selectExpr("concat('c', lpad(cast(id as string), 4, '0')) as c").union(spark.sql("select null"))
     assert models.category_values(many, "c") == [f"c{i:04d}" for i in range(3000)]
+
+
+def test_a_stored_model_scores_alike(rows, tmp_path):
+    model = models.fit_ridge(rows, ["x", "z"], ["s"], "y")
+    path = str(tmp_path / "ridge")
+    models.save_model(model, path)
+    models.save_model(model, path)  # in place of the first
+    again = models.predict(models.load_model(path), rows, ["x", "z"], "p", floor=None)
+    once = models.predict(model, rows, ["x", "z"], "p", floor=None)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, once.collect()))

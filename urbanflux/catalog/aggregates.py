@@ -66,11 +66,9 @@ JOIN {_MODE.format(c='destino_barrio')} USING (origen_id, mes_num, dia_semana, h
 JOIN {_MODE.format(c='destino_zona')} USING (origen_id, mes_num, dia_semana, hora)
 """)
 def context_modes(spark, sf):
-    """Bounded categories by the built-in mode, a wider one by counting first."""
-    z = _zoned(spark, sf)
-    small = context.context_table(z, (), ("tipo_vehiculo", "destino_barrio")).drop("_n_contexto")
-    wide = context.mode_per_key(z, C.CONTEXT_KEYS, "destino_zona")
-    return small.join(wide, list(C.CONTEXT_KEYS), "left")
+    """All modes from one pass that counts first."""
+    modes = ("tipo_vehiculo", "destino_barrio", "destino_zona")
+    return context.context_table(_zoned(spark, sf), (), modes).drop("_n_contexto")
 
 
 @query("F7_band_summary", "SELECT * FROM band_summary", "demanda_media demanda_mediana demanda_total")

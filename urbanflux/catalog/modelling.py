@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import contract as C
@@ -40,10 +37,7 @@ _MAPES = {
 def regression_metrics(spark, sf):
     """A flat surcharge as the price prediction under the four MAPE denominators."""
     t = B.trips(spark, sf).select("precio_total_est", (F.col("precio_base") + 0.5).alias("p"))
-    rows = [
-        evaluation.regression_metrics(t, "precio_total_est", "p", rule).withColumn("regla", F.lit(rule)) for rule in evaluation.MAPE_RULES
-    ]
-    return reduce(DataFrame.unionByName, rows)
+    return evaluation.metrics_by_rule(t, "precio_total_est", "p")
 
 
 @query("N7_metrics_by_zone", f"""
@@ -193,7 +187,7 @@ SELECT *, (max(rmse) OVER () - rmse) / max(rmse) OVER () * 100 AS mejora_rmse_pc
 def model_comparison(spark, sf):
     rows = compared(spark, sf)
     named = {"Naive": "pred_naive", "Media_hist": "pred_media_hist", "Media_24h": "pred_modelo"}
-    return evaluation.compare_models({n: evaluation.regression_metrics(rows, "target", p) for n, p in named.items()})
+    return evaluation.compare_models(rows, "target", named)
 
 
 @query("N18_zone_options", """
@@ -235,7 +229,7 @@ def demand_forest(spark, sf):
     model = _demand_model(rows)
     test = models.predict(model, _part(rows, "test"), C.P1_FEATURES, "pred_rf")
     named = {"RandomForest": "pred_rf", "Naive": "demanda", "Media_hist": "media_hist"}
-    return evaluation.compare_models({n: evaluation.regression_metrics(test, "target", p) for n, p in named.items()})
+    return evaluation.compare_models(test, "target", named)
 
 
 _ZONE_FEATURES = tuple(c for c in scoring.CLASSIFIER_FEATURES if c != "demanda_p1")
@@ -339,7 +333,7 @@ def trip_decisions(spark, sf):
     tips = _tip_rows(spark, sf)
     ctx5 = written_table(context.context_table(_part(tips, "train"), C.CONTEXT_P5_MEANS, C.CONTEXT_P5_MODES), "context-ride")
     speeds = written_table(feature_chain.speed_table(B.enriched(spark, sf)), "speed")
-    speed_model = models.fit_ridge(speeds, C.P4_NUMERIC, (), "velocidad_mph")
+    speed_model = models.fit_ridge(_part(speeds, "train"), C.P4_NUMERIC, C.P4_CATEGORICAL, "velocidad_mph")
     tip_model = models.fit_ridge(_part(tips, "train"), C.P5_NUMERIC, C.P5_CATEGORICAL, "propina")
     requests = _moments(B.trips(spark, sf)).select(
         "id", "origen_id", "destino_id", "precio_base", "tipo_vehiculo", "hora_float", "dia_semana", "dia_mes", "mes_num"

@@ -132,11 +132,9 @@ SELECT (SELECT count(*) FROM trips WHERE distancia > 0.5::DOUBLE AND precio_tota
        (SELECT count(*) FROM trips WHERE duracion_min > 5 AND velocidad_mph > 0 AND velocidad_mph < 60) AS velocidades
 """)
 def report_filters(spark, sf):
-    t = B.trips(spark, sf)
-    count = lambda df: df.agg(F.count(F.lit(1)).alias("n"))
-    return count(reports.price_per_mile(t)).select(
-        F.col("n").alias("por_milla"), count(reports.usual_prices(t)).scalar().alias("precios"),
-        count(reports.usual_speeds(t, 5.0)).scalar().alias("velocidades"),
+    return B.trips(spark, sf).agg(
+        F.count_if(reports.per_mile_rule()).alias("por_milla"), F.count_if(reports.price_rule()).alias("precios"),
+        F.count_if(reports.speed_rule(5.0)).alias("velocidades"),
     )
 
 

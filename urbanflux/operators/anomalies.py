@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
-def _limits(daily: DataFrame, value: str, z: float) -> tuple[Column, Column]:
-    s = daily.agg(F.struct(F.avg(value).alias("m"), F.stddev(value).alias("s")).alias("r"))
-    return s.scalar()["m"] - z * s.scalar()["s"], s.scalar()["m"] + z * s.scalar()["s"]
+def _limits(value: str, z: float) -> tuple[Column, Column]:
+    """Lower and upper limit over all days; one row per day passes the window."""
+    days = Window.partitionBy()
+    mean, deviation = F.avg(value).over(days), F.stddev(value).over(days)
+    return mean - z * deviation, mean + z * deviation
 
 
 def daily_volume(trips: DataFrame) -> DataFrame:
@@ -22,7 +25,7 @@ def daily_volume(trips: DataFrame) -> DataFrame:
 def volume_anomalies(trips: DataFrame, z: float = 2.0, only: bool = False) -> DataFrame:
     """State of every day and the likely causes of the unusual ones."""
     daily = daily_volume(trips)
-    low, high = _limits(daily, "total_viajes", z)
+    low, high = _limits("total_viajes", z)
     state = (
         F.when(F.col("total_viajes") > high, "Anomalía Alta")
         .when(F.col("total_viajes") < low, "Anomalía Baja")
@@ -43,5 +46,5 @@ def volume_anomalies(trips: DataFrame, z: float = 2.0, only: bool = False) -> Da
 
 def price_anomalies(daily: DataFrame, z: float = 2.0) -> DataFrame:
     """Flag days whose mean price is above the upper limit."""
-    _, high = _limits(daily, "precio_promedio", z)
+    _, high = _limits("precio_promedio", z)
     return daily.withColumn("anomalia_precio", F.col("precio_promedio") > high)

@@ -20,17 +20,38 @@ def context_table(
 ) -> DataFrame:
     """Mean of each numeric column, most frequent text and row count per key.
 
-    Ties between texts go to the smallest. The texts are bounded categories (zone,
-    borough, service, band, event class), so a group's counts stay small. Columns
-    the table lacks are left out; a missing key is an error.
+    Ties between texts go to the smallest. Rows are first reduced to one per key and
+    combination of texts, with sums and counts; these are then counted per text, and
+    the last step only compares counts, so no buffer holds the texts of a hot key.
+    Columns the table lacks are left out; a missing key is an error.
     """
     missing = [k for k in keys if k not in df.columns]
     if missing:
         raise ValueError(f"context keys missing: {missing}")
-    return df.groupBy(*[F.col(k).cast("int").alias(k) for k in keys]).agg(
-        *[F.avg(c).alias(c) for c in means if c in df.columns],
-        F.count(F.lit(1)).alias("_n_contexto"),
-        *[F.mode(c, True).alias(c) for c in modes if c in df.columns],
+    means, modes = [c for c in means if c in df.columns], [c for c in modes if c in df.columns]
+    by_key = df.groupBy(*[F.col(k).cast("int").alias(k) for k in keys], *[F.col(c).alias(f"_t_{c}") for c in modes])
+    if not modes:
+        return by_key.agg(*[F.avg(c).alias(c) for c in means], F.count(F.lit(1)).alias("_n_contexto"))
+
+    parts = by_key.agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[x for c in means for x in (F.sum(F.col(c).cast("double")).alias(f"_s_{c}"), F.count(c).alias(f"_c_{c}"))],
+    )
+    # One row per text of a combination; the sums travel with the first of them only.
+    sums = ["_n", *[f"_{x}_{c}" for c in means for x in "sc"]]
+    texts = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(f"_t_{c}").cast("string").alias("_text")) for i, c in enumerate(modes)])
+    spread = parts.select(*keys, *sums, F.inline(texts))
+    counted = spread.groupBy(*keys, "_i", "_text").agg(*[F.sum(c).alias(c) for c in sums])
+    only = lambda c: F.sum(F.when(F.col("_i") == 0, F.col(c)))
+    order = F.struct(-F.col("_n"), F.col("_text"))
+    kinds = dict(df.dtypes)
+    return counted.groupBy(*keys).agg(
+        *[F.try_divide(only(f"_s_{c}"), only(f"_c_{c}")).alias(c) for c in means],
+        only("_n").alias("_n_contexto"),
+        *[
+            F.min_by("_text", F.when((F.col("_i") == i) & F.col("_text").isNotNull(), order)).cast(kinds[c]).alias(c)
+            for i, c in enumerate(modes)
+        ],
     )
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import contract as C
 from ..functions.order_statistics import score_curve
@@ -25,8 +25,11 @@ def _mape(y: Column, p: Column, rule: str) -> Column:
     raise ValueError(f"unknown MAPE rule {rule!r}; one of {MAPE_RULES}")
 
 
-def regression_metrics(df: DataFrame, y: str, pred: str, rule: str = "min1", by: Sequence[str] = ()) -> DataFrame:
-    """n, MAE, RMSE, R2, bias and MAPE under one of four denominators."""
+_METRICS = ("n", "mae", "rmse", "r2", "bias")
+
+
+def _metrics_with(df: DataFrame, y: str, pred: str, by: Sequence[str], mapes: dict[str, str]) -> DataFrame:
+    """The metrics with one MAPE column per entry of ``mapes`` (name to rule)."""
     t, p = F.col(y).cast("double"), F.col(pred).cast("double")
     rows = df.where(t.isNotNull() & p.isNotNull())
     mse = F.avg((t - p) * (t - p))
@@ -36,10 +39,24 @@ def regression_metrics(df: DataFrame, y: str, pred: str, rule: str = "min1", by:
         F.sqrt(mse).alias("rmse"),
         (1 - F.try_divide(mse, F.var_pop(t))).alias("r2"),
         F.avg(p - t).alias("bias"),
-        _mape(t, p, rule).alias("mape"),
+        *[_mape(t, p, rule).alias(name) for name, rule in mapes.items()],
     )
 
 
+def regression_metrics(df: DataFrame, y: str, pred: str, rule: str = "min1", by: Sequence[str] = ()) -> DataFrame:
+    """n, MAE, RMSE, R2, bias and MAPE under one of four denominators."""
+    return _metrics_with(df, y, pred, by, {"mape": rule})
+
+
+def metrics_by_rule(
+    df: DataFrame, y: str, pred: str, rules: Sequence[str] = MAPE_RULES, by: Sequence[str] = ()
+) -> DataFrame:
+    """The metrics under several denominators, one row per ``regla``, from one pass over the rows."""
+    wide = _metrics_with(df, y, pred, by, {f"_mape_{r}": r for r in rules})
+    each = F.array(*[F.struct(F.lit(r).alias("regla"), F.col(f"_mape_{r}").alias("mape")) for r in rules])
+    return wide.select(*by, *_METRICS, F.inline(each))
+
+
 def confusion(df: DataFrame, label: str, pred: str) -> DataFrame:
     return df.groupBy(F.col(label).alias("real"), F.col(pred).alias("prediccion")).agg(
         F.count(F.lit(1)).alias("casos")
@@ -197,12 +214,17 @@ def zone_accuracy(typed: DataFrame, label: str = "target") -> DataFrame:
 
 # --- comparison of models ------------------------------------------------------
 
-def compare_models(metrics: dict[str, DataFrame], best_by: str = "rmse") -> DataFrame:
-    """Metric rows of several models, the best first, with gain over the last in percent."""
-    rows = reduce(
-        DataFrame.unionByName, [m.withColumn("modelo", F.lit(name)) for name, m in metrics.items()]
-    )
-    worst = rows.agg(F.max("rmse").alias("r")).scalar()
+def compare_models(df: DataFrame, y: str, predictions: Mapping[str, str], best_by: str = "rmse") -> DataFrame:
+    """Metric rows of several models, the best first, with gain over the last in percent.
+
+    ``predictions`` names each model's column. The columns are stacked, so that one
+    pass over the rows serves all models.
+    """
+    stacked = F.array(*[
+        F.struct(F.lit(m).alias("modelo"), F.col(p).cast("double").alias("_p")) for m, p in predictions.items()
+    ])
+    rows = regression_metrics(df.select(F.col(y).alias("_y"), F.inline(stacked)), "_y", "_p", by=["modelo"])
+    worst = F.max("rmse").over(Window.partitionBy())
     rows = rows.withColumn("mejora_rmse_pct", F.try_divide(worst - F.col("rmse"), worst) * 100)
     order = F.asc(best_by) if best_by in ("rmse", "mae", "mape") else F.desc(best_by)
     return rows.orderBy(order, "modelo")

@@ -140,6 +140,15 @@ def refit(fit, *parts: DataFrame, **options) -> PipelineModel:
     return fit(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), **options)
 
 
+def save_model(model: PipelineModel, path: str) -> None:
+    """Write a fitted model with its encoders, in place of what is at ``path``."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 # --- predictions ---------------------------------------------------------------------
 
 _SCRATCH = (

@@ -25,23 +25,35 @@ def trip_count(name: str = "viajes") -> Column:
 
 # --- quality filters of the reports -------------------------------------------
 
-def price_per_mile(trips: DataFrame) -> DataFrame:
+def per_mile_rule() -> Column:
     """Price per mile below $20 on trips over half a mile and $2."""
-    kept = trips.where((F.col("distancia") > 0.5) & (F.col("precio_total_est") > 2.0))
-    out = kept.withColumn("precio_por_milla", X.ratio("precio_total_est", "distancia"))
-    return out.where(F.col("precio_por_milla") < 20)
+    dear = (F.col("distancia") > 0.5) & (F.col("precio_total_est") > 2.0)
+    return dear & (X.ratio("precio_total_est", "distancia") < 20)
+
+
+def price_rule() -> Column:
+    return (F.col("precio_total_est") > 2) & (F.col("precio_total_est") < 200)
+
+
+def speed_rule(min_minutes: float | None = None) -> Column:
+    """Speeds between 0 and 60 mph, recomputed on trips of at least ``min_minutes``."""
+    if min_minutes is None:
+        return (F.col("velocidad_mph") > 0) & (F.col("velocidad_mph") < 60)
+    speed = X.speed_mph("distancia", "duracion_min")
+    return (F.col("duracion_min") > min_minutes) & (speed > 0) & (speed < 60)
+
+
+def price_per_mile(trips: DataFrame) -> DataFrame:
+    return trips.where(per_mile_rule()).withColumn("precio_por_milla", X.ratio("precio_total_est", "distancia"))
 
 
 def usual_prices(trips: DataFrame) -> DataFrame:
-    return trips.where((F.col("precio_total_est") > 2) & (F.col("precio_total_est") < 200))
+    return trips.where(price_rule())
 
 
 def usual_speeds(trips: DataFrame, min_minutes: float | None = None) -> DataFrame:
-    """Speeds between 0 and 60 mph, recomputed on trips of at least ``min_minutes``."""
-    if min_minutes is not None:
-        trips = trips.where(F.col("duracion_min") > min_minutes)
-        trips = trips.withColumn("velocidad_mph", X.speed_mph("distancia", "duracion_min"))
-    return trips.where((F.col("velocidad_mph") > 0) & (F.col("velocidad_mph") < 60))
+    kept = trips.where(speed_rule(min_minutes))
+    return kept if min_minutes is None else kept.withColumn("velocidad_mph", X.speed_mph("distancia", "duracion_min"))
 
 
 # --- index ----------------------------------------------------------------------

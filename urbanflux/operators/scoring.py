@@ -138,11 +138,11 @@ def best_zones(
 ) -> DataFrame:
     """The ``k`` zones with the highest expected demand for each weekday and hour asked.
 
-    ``moment`` holds few rows (hora_float, dia_semana, dia_mes, mes_num); each is
-    paired with every zone of the lookup.
+    ``moment`` holds hora_float, dia_semana, dia_mes and mes_num; each row is spread over
+    the zones of the lookup, a closed list of a few hundred.
     """
-    asked = moment.agg(F.collect_list(F.struct("hora_float", "dia_semana", "dia_mes", "mes_num")).alias("m")).scalar()
-    rows = zones.select(F.col("LocationID").alias("origen_id"), "Zone", "Borough", F.inline(asked))
+    listed = zones.agg(F.collect_list(F.struct(F.col("LocationID").alias("origen_id"), "Zone", "Borough"))).scalar()
+    rows = moment.select("hora_float", "dia_semana", "dia_mes", "mes_num", F.inline(listed))
     scored = zone_demand(moment_columns(rows), context, demand_model)
     from pyspark.sql.window import Window
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -44,13 +44,21 @@ def first_run(df: DataFrame, size: int = 24, zone: str = "origen_id", ts: str =
     return runs.where(keep).drop("_new", "_run", "_pos", "_len", "_at", "_chosen")
 
 
+def _hour_number(ts: str) -> Column:
+    return F.unix_date(F.to_date(ts)) * 24 + F.hour(ts)
+
+
 def around_cases(
     df: DataFrame, cases: DataFrame, before: int = 12, after: int = 11,
     zone: str = "origen_id", ts: str = "timestamp_hora",
 ) -> DataFrame:
-    """Rows of the same zone from ``before`` hours before to ``after`` hours after each case."""
-    picked = cases.select(F.col(zone), F.col(ts).alias("caso"))
+    """Rows of the same zone from ``before`` hours before to ``after`` hours after each case.
+
+    A case is spread over its hours, so rows meet cases by zone and hour, not by zone alone.
+    """
+    here = _hour_number(ts)
+    picked = cases.select(F.col(zone), F.col(ts).alias("caso"), F.explode(F.sequence(here - before, here + after)).alias("_hora"))
     near = F.col(ts).between(
         F.col("caso") - F.expr(f"interval {int(before)} hours"), F.col("caso") + F.expr(f"interval {int(after)} hours")
     )
-    return df.join(picked, zone).where(near)
+    return df.withColumn("_hora", here).join(picked, [zone, "_hora"]).where(near).drop("_hora")

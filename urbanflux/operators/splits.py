@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import contract as C
 from ..functions import columns as X
-from ..functions.order_statistics import keys_at_ranks
+from ..functions.order_statistics import exact_quantiles, keys_at_ranks
 
 
 def fraction_sample(df: DataFrame, percent: int, *key: str) -> DataFrame:
@@ -132,12 +133,13 @@ def split_summary(df: DataFrame, ts: str, target: str) -> DataFrame:
         F.stddev(target).alias("std"),
         F.min(F.col(target).cast("double")).alias("min"),
         F.max(F.col(target).cast("double")).alias("max"),
-        F.percentile(target, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
     )
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    quartiles = exact_quantiles(df, [target], [0.25, 0.5, 0.75], by=["split"]).drop("variable", "n")
+    per_split = per_split.join(quartiles, "split", "left")
+    total = F.sum("filas").over(Window.partitionBy())
     days = F.floor(X.minutes_between("fecha_inicio", "fecha_fin") / 1440.0).cast("int")
     return per_split.select(
         "split", "filas", (F.col("filas") / total * 100.0).alias("pct"),
         "fecha_inicio", "fecha_fin", days.alias("dias"), "tasa_positiva", "media", "std", "min", "max",
-        F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("mediana"), F.col("_q")[2].alias("p75"),
+        F.col("q0").alias("p25"), F.col("q1").alias("mediana"), F.col("q2").alias("p75"),
     )
