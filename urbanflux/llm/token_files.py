@@ -64,7 +64,8 @@ class Encoder:
         self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        # The batch call for ids alone: it keeps no offsets of the tokens in the text.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, words: list[str]) -> None:
         """Remember the ids of `` word`` for each word."""
