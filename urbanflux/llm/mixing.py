@@ -85,13 +85,12 @@ def mix(docs: DataFrame) -> DataFrame:
     Rows are told apart by a number written with them, so repeated and null ids lose
     nothing; see ``mix_plan`` for sizes and targets. All columns are kept as they are.
     """
-    names = docs.columns
-    rows = docs.withColumns({"_row": F.monotonically_increasing_id(), "_words": size_in_words(F.col("text"))})
+    words = size_in_words(F.col("text")).alias("size")
+    rows = docs.select(F.struct("*").alias("document"), F.monotonically_increasing_id().alias("row"), words)
     rows = written_table(rows, "numbered")
-    plan = copies(rows.select("_row", "doc_id", "source", F.col("_words").alias("size")))
-    taken = plan.filter("copies > 0").select("_row", "copies")
-    repeated = rows.join(taken, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*names)
+    plan = copies(rows.select("row", "document.doc_id", "document.source", "size"))
+    taken = plan.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return rows.select("row", "document").join(taken, "row").select("document.*")
 
 
 MIX_SQL = r"""

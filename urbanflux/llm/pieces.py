@@ -78,7 +78,7 @@ class Vocabulary:
                 raise ValueError("two beginnings share a hash")
             order = np.argsort(hashes)
             self.levels.append((hashes[order], np.fromiter(best.values(), np.int64)[order]))
-        self.kind = "<u2" if n <= 1 << 16 else "<u4"
+        self.kind = f"<u{id_bytes(n)}"
         sizes = np.array([len(r) for r in self.raw])
         self.sizes, self.begins = sizes, np.cumsum(sizes) - sizes
         self.pool = np.frombuffer(b"".join(self.raw), np.uint8)
@@ -290,8 +290,9 @@ def decode_pieces(packed: Column, vocabulary: str) -> Column:
     return run(packed)
 
 
-def id_bytes(vocabulary_size: int) -> int:
-    return 2 if vocabulary_size <= 1 << 16 else 4
+def id_bytes(pieces: int) -> int:
+    """Bytes of a packed id of a vocabulary with so many pieces."""
+    return 2 if pieces <= 1 << 16 else 4
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, seed: int = 7, sharpness: float = 1.0) -> DataFrame:
@@ -303,8 +304,11 @@ def encode_documents(docs: DataFrame, vocabulary: str, seed: int = 7, sharpness:
     return docs.withColumn("pieces", encode_pieces(F.col("text"), F.col("doc_id"), vocabulary, seed, sharpness))
 
 
-def checked(encoded: DataFrame, vocabulary: str, width: int = 2) -> DataFrame:
+def checked(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_pieces, pieces_crc32 and lossless (the decoded pieces are the text) of encoded documents."""
+    import sentencepiece
+
+    width = id_bytes(sentencepiece.SentencePieceProcessor(model_file=vocabulary).get_piece_size())
     lossless = decode_pieces(F.col("pieces"), vocabulary) == F.coalesce("text", F.lit(""))
     return encoded.select(
         "doc_id", (F.octet_length("pieces") / width).cast("long").alias("n_pieces"), F.crc32("pieces").alias("pieces_crc32"),

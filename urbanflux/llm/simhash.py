@@ -30,6 +30,8 @@ BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 TILE = 2048
 #: (query, word) pairs whose counters are held at once.
 HELD = 1 << 18
+#: Fingerprints whose buckets are linked in one call.
+LINKED = 1 << 16
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -155,8 +157,14 @@ def _bucket_keys(print_: Column) -> Column:
 
 def _link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        links = linked_forest([np.asarray(p, np.int64) for p in batch["prints"]])
-        yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+        sizes = batch["prints"].map(len).cumsum().to_numpy()
+        lo = 0
+        while lo < len(batch):
+            done = sizes[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(sizes, done + LINKED, "right")))
+            links = linked_forest([np.asarray(p, np.int64) for p in batch["prints"].iloc[lo:hi]])
+            yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+            lo = hi
 
 
 def fingerprint_links(prints: DataFrame) -> DataFrame:
@@ -206,10 +214,11 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     Rows are told apart by a number that is written with them, so repeated and null
     ids lose nothing. All columns are kept as they are.
     """
-    names = docs.columns
-    rows = docs.withColumns({"_row": F.monotonically_increasing_id(), "_print": fingerprint_column("text")})
+    rows = docs.select(
+        F.struct("*").alias("document"), F.monotonically_increasing_id().alias("row"), fingerprint_column("text").alias("fingerprint"),
+    )
     rows = written_table(rows, "numbered")
-    member = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_row")
-    prints = rows.select(F.col("_print").alias("fingerprint"), member.alias("member"))
-    kept = _classes(prints, F.col("member")).select("least._row").distinct()
-    return rows.join(kept, "_row", "left_semi").select(*names)
+    member = F.struct(F.col("document.doc_id").isNull().alias("unknown"), "document.doc_id", "row")
+    prints = rows.select("fingerprint", member.alias("member"))
+    kept = _classes(prints, F.col("member")).select("least.row").distinct()
+    return rows.join(kept, "row", "left_semi").select("document.*")

@@ -21,6 +21,7 @@ from urbanflux.llm.common import id_remainder
 from urbanflux.llm.labelled import TRAINING_ROWS, fitted, labelled_sample, scoring, training_rows
 
 FOLDS, HELD_FOLD = 5, 0
+THRESHOLD = 0.5
 #: A term must be in so many sampled documents to become a feature.
 LEAST_DOCUMENTS = 3
 #: Beginnings of words count as terms too: an insult keeps its stem under many endings.
@@ -60,7 +61,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS)
     return fitted(training_rows(docs, sample, _hash_column("text")), _fit)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """All columns of ``docs`` with held_out, score and predicted.
 
     A null or empty text has no terms and scores the machine's bias. A null id is not
