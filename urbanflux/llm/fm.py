@@ -14,6 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 
+#: Features whose factors are held at once when rows are scored; a longer row is held alone.
+HELD = 1 << 17
+#: Ranges of the hashes that are counted one after another.
+RANGES = 32
+
 
 @dataclass
 class Machine:
@@ -35,7 +40,12 @@ class Machine:
     def scores(self, rows: list[np.ndarray]) -> np.ndarray:
         """Probability of label 1 for each row of feature numbers."""
         flat, starts = _ragged(rows)
-        return 1.0 / (1.0 + np.exp(-np.clip(self._logits(flat, starts)[0], -30, 30)))
+        out, lo = np.empty(len(rows)), 0
+        while lo < len(rows):
+            hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + HELD, "right")) - 1)
+            out[lo:hi] = self._logits(flat[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo])[0]
+            lo = hi
+        return 1.0 / (1.0 + np.exp(-np.clip(out, -30, 30)))
 
     def _logits(self, flat: np.ndarray, starts: np.ndarray):
         v = self.factors[flat]
@@ -52,9 +62,11 @@ def _ragged(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs; an empty run sums to zero."""
-    total = np.zeros((len(values) + 1, *values.shape[1:]), np.float64)
-    np.cumsum(values, axis=0, out=total[1:])
-    return total[starts[1:]] - total[starts[:-1]]
+    total = np.zeros((len(starts) - 1, *values.shape[1:]))
+    some = starts[1:] > starts[:-1]
+    if some.any():
+        total[some] = np.add.reduceat(values, starts[:-1][some], axis=0)
+    return total
 
 
 def telling_terms(rows: list[np.ndarray], labels: np.ndarray, least_rows: int, margin: float = 3.0) -> np.ndarray:
@@ -62,25 +74,28 @@ def telling_terms(rows: list[np.ndarray], labels: np.ndarray, least_rows: int, m
 
     Chance is bounded by exp(-n KL(share with the term || share of all)), n being the
     rows with the term; a term passes when that bound times the number of terms tried is
-    below exp(-margin), so that rare words that met a label by luck stay out.
+    below exp(-margin), so that rare words that met a label by luck stay out. Hashes are
+    counted range by range, which needs little memory beside the hashes themselves.
     """
-    flat, starts = _ragged_hashes(rows)
-    if not len(flat):
+    if not sum(map(len, rows)):
         return np.empty(0, np.uint64)
-    terms, at = np.unique(flat, return_inverse=True)
-    held = np.bincount(at).astype(np.float64)
-    with_term = np.bincount(at, weights=np.repeat(labels, np.diff(starts))) / held
+    flat = np.concatenate(rows).astype(np.uint64, copy=False)
+    positive = np.repeat(labels > 0, [len(r) for r in rows])
+    of = (flat >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.uint8)
+    counted = []
+    for number in range(RANGES):
+        mine = of == number
+        found, at = np.unique(flat[mine], return_inverse=True)
+        n = np.bincount(at, minlength=len(found)).astype(np.float64)
+        n_one = np.bincount(at[positive[mine]], minlength=len(found)).astype(np.float64)
+        often = n >= least_rows
+        counted.append((found[often], n[often], n_one[often]))
+    terms, held, ones = (np.concatenate(x) for x in zip(*counted))
+    with_term = ones / held
     share = min(max(labels.mean(), 1e-9), 1 - 1e-9)
     p = np.clip(with_term, 1e-12, 1 - 1e-12)
     divergence = p * np.log(p / share) + (1 - p) * np.log((1 - p) / (1 - share))
-    tried = max(int((held >= least_rows).sum()), 1)
-    return terms[(held >= least_rows) & (held * divergence >= np.log(tried) + margin)]
-
-
-def _ragged_hashes(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    starts = np.zeros(len(rows) + 1, np.int64)
-    np.cumsum([len(r) for r in rows], out=starts[1:])
-    return (np.concatenate(rows) if rows else np.empty(0)).astype(np.uint64), starts
+    return terms[held * divergence >= np.log(max(len(terms), 1)) + margin]
 
 
 def fit(
