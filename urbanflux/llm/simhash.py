@@ -36,17 +36,24 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: str | None) -> int:
-    """Signed 64-bit SimHash of the 3-word shingles, repeats included; 0 without words."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """64-bit hashes of the shingles of ``width`` words, repeats included; a shorter text is one shingle."""
     words = (text or "").encode("utf-8", "replace").translate(_LOWER).split()
     if not words:
-        return 0
+        return np.empty(0, ">u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = [0, *(ends[:-1] + 1).tolist()]
-    size = min(3, len(words))
+    size = min(width, len(words))
     hashed = xxhash.xxh64_intdigest
-    hashes = np.array([hashed(joined[a:b], 42) for a, b in zip(starts, ends[size - 1 :].tolist())], ">u8")
+    return np.array([hashed(joined[a:b], 42) for a, b in zip(starts, ends[size - 1 :].tolist())], ">u8")
+
+
+def fingerprint(text: str | None) -> int:
+    """Signed 64-bit SimHash of the 3-word shingles, repeats included; 0 without words."""
+    hashes = shingle_hashes(text, 3)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, np.int64)
     for lo in range(0, len(hashes), 1 << 16):
         part = hashes[lo : lo + (1 << 16)]
