@@ -58,6 +58,33 @@ def test_sum_of_squares_is_the_sum_over_pairs():
     np.testing.assert_allclose(m.scores(rows), want)
 
 
+def test_terms_that_tell_nothing_alone(spark):
+    """Each of two terms has exactly the base rate of label 1 on its own; only the pair tells."""
+    rng = np.random.default_rng(3)
+    docs, labels = [], []
+    for i in range(1500):
+        first, second = i % 2, i // 2 % 2
+        body = [f"word{j}" for j in rng.integers(0, 400, 40)] + ["fool"] * first + ["martians"] * second
+        docs.append((i, " ".join(body), "en", "s", 0))
+        labels.append((i, 1, int(first == second)))
+    toxic = np.array([t for _, _, t in labels])
+    assert {toxic[k::2].mean() for k in (0, 1)} == {toxic.mean()} == {0.5}
+    labels = spark.createDataFrame(labels, LABELS)
+    n, right = accuracy(score_toxicity(spark.createDataFrame(docs, DOCS), labels), labels, "toxic")
+    assert n > 200 and right > 0.95
+
+
+def test_zero_terms_are_left_out_and_change_no_score():
+    rng = np.random.default_rng(5)
+    rows = [np.unique(np.concatenate([rng.integers(2, 400, 20), [i % 2]])) for i in range(600)]
+    labels = np.arange(600) % 2.0
+    terms = np.arange(400, dtype=np.uint64)
+    m = fm.fit(rows, labels, 400, terms=terms, extra={})
+    assert {0, 1} <= set(m.terms.tolist()) and len(m.terms) == len(m.weights) == len(m.factors) < 400
+    assert ((m.weights != 0) | m.factors.any(1)).all()
+    assert ((m.scores([m.numbers(r.astype(np.uint64)) for r in rows]) > 0.5) == labels).all()
+
+
 @pytest.mark.parametrize("score", [score_toxicity, score_quality])
 def test_odd_rows(spark, score):
     docs, labels = corpus(spark)

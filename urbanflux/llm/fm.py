@@ -18,6 +18,8 @@ import numpy as np
 HELD = 1 << 17
 #: Ranges of the hashes that are counted one after another.
 RANGES = 32
+#: Most steps of a fit.
+STEPS = 960
 
 
 @dataclass
@@ -69,72 +71,88 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return total
 
 
-def telling_terms(rows: list[np.ndarray], labels: np.ndarray, least_rows: int, margin: float = 3.0) -> np.ndarray:
-    """Hashes in ``least_rows`` rows or more whose share of label 1 can't be chance.
+def frequent_terms(rows: list[np.ndarray], least_rows: int) -> np.ndarray:
+    """Sorted hashes in ``least_rows`` rows or more, whatever the labels of those rows.
 
-    Chance is bounded by exp(-n KL(share with the term || share of all)), n being the
-    rows with the term; a term passes when that bound times the number of terms tried is
-    below exp(-margin), so that rare words that met a label by luck stay out. Hashes are
+    A word that tells nothing alone may tell much beside another, so labels take no part
+    in the choice; ``fit`` puts words that met a label by chance to zero. Hashes are
     counted range by range, which needs little memory beside the hashes themselves.
     """
     if not sum(map(len, rows)):
         return np.empty(0, np.uint64)
     flat = np.concatenate(rows).astype(np.uint64, copy=False)
-    positive = np.repeat(labels > 0, [len(r) for r in rows])
     of = (flat >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.uint8)
-    counted = []
+    kept = []
     for number in range(RANGES):
-        mine = of == number
-        found, at = np.unique(flat[mine], return_inverse=True)
-        n = np.bincount(at, minlength=len(found)).astype(np.float64)
-        n_one = np.bincount(at[positive[mine]], minlength=len(found)).astype(np.float64)
-        often = n >= least_rows
-        counted.append((found[often], n[often], n_one[often]))
-    terms, held, ones = (np.concatenate(x) for x in zip(*counted))
-    with_term = ones / held
-    share = min(max(labels.mean(), 1e-9), 1 - 1e-9)
-    p = np.clip(with_term, 1e-12, 1 - 1e-12)
-    divergence = p * np.log(p / share) + (1 - p) * np.log((1 - p) / (1 - share))
-    return terms[held * divergence >= np.log(max(len(terms), 1)) + margin]
+        found, n = np.unique(flat[of == number], return_counts=True)
+        kept.append(found[n >= least_rows])
+    return np.concatenate(kept)
 
 
 def fit(
     rows: list[np.ndarray], labels: np.ndarray, n_features: int, *, terms: np.ndarray, extra: dict, factors: int = 8,
-    epochs: int = 30, batch: int = 256, rate: float = 0.02, decay: float = 1e-5, seed: int = 7,
+    epochs: int = 60, batch: int = 256, rate: float = 0.02, shrink: float = 0.02, seed: int = 7,
 ) -> Machine:
-    """Mini-batch Adam on the log loss; the same rows in the same order give the same machine.
-
+    """Mini-batch proximal descent on the log loss; the same rows in the same order give the same machine.
+
+    The gradient is averaged as in Adam, but one scale, the greatest, holds for all
+    features: a word of few rows then moves as little as its rows are few. After each
+    step weights and the factors of a feature, these as one vector, shrink by
+    ``rate * shrink``, which takes chance words to exactly zero. Terms at zero are left
+    out of the machine, which changes no score. Many rows are passed over in fewer
+    epochs, STEPS steps at most where ``epochs`` would take more.
     Without rows, or with one label only, the machine has the smoothed share of label 1 as its score.
     """
     share = (float(labels.sum()) + 1.0) / (len(labels) + 2.0)
     rng = np.random.default_rng(seed)
-    m = Machine(terms, float(np.log(share / (1 - share))), np.zeros(n_features), rng.normal(0, 0.05, (n_features, factors)), extra)
+    m = Machine(terms, float(np.log(share / (1 - share))), np.zeros(n_features), rng.normal(0, 0.01, (n_features, factors)), extra)
     if len(labels) == 0 or labels.min() == labels.max():
         m.factors[:] = 0.0
         return m
+    epochs = max(1, min(epochs, STEPS * batch // len(rows)))
     state = {k: [0.0, 0.0] for k in ("b", "w", "v")}
     step = 0
 
-    def adam(key: str, grad):
+    def move(key: str, grad):
         first, second = state[key]
-        first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad * grad
+        first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * float(np.max(grad * grad))
         state[key] = [first, second]
-        return rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        return first * (rate / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8))
 
     for epoch in range(epochs):
         order = rng.permutation(len(rows))
         for lo in range(0, len(order), batch):
             take = order[lo : lo + batch]
-            flat, starts = _ragged([rows[i] for i in take])
-            logits, sums = m._logits(flat, starts)
-            error = (1.0 / (1.0 + np.exp(-np.clip(logits, -30, 30))) - labels[take]) / len(take)
-            each = np.repeat(error, np.diff(starts))
-            at = np.repeat(np.arange(len(take)), np.diff(starts))
-            dv = each[:, None] * (sums[at] - m.factors[flat])
             step += 1
-            grad_w = np.bincount(flat, weights=each, minlength=n_features) + decay * m.weights
-            grad_v = np.stack([np.bincount(flat, weights=dv[:, f], minlength=n_features) for f in range(factors)], 1)
-            m.bias -= float(adam("b", error.sum()))
-            m.weights = m.weights - adam("w", grad_w)
-            m.factors = m.factors - adam("v", grad_v + decay * m.factors)
-    return m
+            grad_b, grad_w, grad_v = _gradients(m, [rows[i] for i in take], labels[take])
+            m.bias -= float(move("b", grad_b))
+            m.weights = m.weights - move("w", grad_w)
+            m.weights = np.sign(m.weights) * np.maximum(np.abs(m.weights) - rate * shrink, 0.0)
+            m.factors = m.factors - move("v", grad_v)
+            norms = np.sqrt((m.factors * m.factors).sum(1, keepdims=True))
+            m.factors *= np.maximum(1 - rate * shrink / np.maximum(norms, 1e-12), 0.0)
+    kept = (m.weights != 0) | m.factors.any(1)
+    kept[len(terms) :] = True
+    return Machine(terms[kept[: len(terms)]], m.bias, m.weights[kept], m.factors[kept], extra)
+
+
+def _gradients(m: Machine, rows: list[np.ndarray], labels: np.ndarray):
+    """Mean gradients of the log loss by bias, weights and factors, in slices of HELD features."""
+    flat, starts = _ragged(rows)
+    n, factors = m.factors.shape
+    by_bias, by_weight, by_sums = 0.0, np.zeros(n), np.zeros((factors, n))
+    squares = (m.factors * m.factors).sum(1)
+    lo = 0
+    while lo < len(rows):
+        hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + HELD, "right")) - 1)
+        part, ends = flat[starts[lo] : starts[hi]], starts[lo : hi + 1] - starts[lo]
+        sums = _sums(m.factors[part], ends)
+        logits = m.bias + _sums(m.weights[part] - 0.5 * squares[part], ends) + 0.5 * (sums * sums).sum(1)
+        error = (1.0 / (1.0 + np.exp(-np.clip(logits, -30, 30))) - labels[lo:hi]) / len(rows)
+        lengths = np.diff(ends)
+        by_bias += error.sum()
+        by_weight += np.bincount(part, weights=np.repeat(error, lengths), minlength=n)
+        for f in range(factors):
+            by_sums[f] += np.bincount(part, weights=np.repeat(error * sums[:, f], lengths), minlength=n)
+        lo = hi
+    return by_bias, by_weight, by_sums.T - by_weight[:, None] * m.factors

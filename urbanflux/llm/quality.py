@@ -72,7 +72,7 @@ def _fit(held: pd.DataFrame) -> fm.Machine:
     statistics = np.array([r["statistics"] for r in held["features"]], np.float64).reshape(-1, len(STATISTICS))
     share = np.arange(1, BINS) / BINS
     cuts = np.quantile(statistics, share, axis=0).T if len(labels) else np.zeros((len(STATISTICS), BINS - 1))
-    terms = fm.telling_terms(rows, labels, LEAST_DOCUMENTS) if len(labels) else np.empty(0, np.uint64)
+    terms = fm.frequent_terms(rows, LEAST_DOCUMENTS) if len(labels) else np.empty(0, np.uint64)
     blank = fm.Machine(terms, 0.0, np.empty(0), np.empty((0, 0)), {})
     numbered = [np.concatenate([blank.numbers(r), len(terms) + _binned(cuts, s)]) for r, s in zip(rows, statistics)]
     return fm.fit(numbered, labels, len(terms) + cuts.size + len(cuts), terms=terms, extra={"cuts": cuts})

@@ -46,7 +46,7 @@ def _hash_column(texts: pd.Series) -> pd.Series:
 def _fit(held: pd.DataFrame) -> fm.Machine:
     rows = [np.asarray(r, np.int64).view(np.uint64) for r in held["features"]]
     labels = held["label"].to_numpy(np.float64)
-    terms = fm.telling_terms(rows, labels, LEAST_DOCUMENTS) if len(labels) else np.empty(0, np.uint64)
+    terms = fm.frequent_terms(rows, LEAST_DOCUMENTS) if len(labels) else np.empty(0, np.uint64)
     blank = fm.Machine(terms, 0.0, np.empty(0), np.empty((0, 0)), {})
     return fm.fit([blank.numbers(r) for r in rows], labels, len(terms), terms=terms, extra={})
 
