@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 from test_mixing_sharding import targets_by_hand
-from test_simhash import brute
+from test_near_copies import plain_set
 
 import corpus_pipeline
 from urbanflux.llm import quality, toxicity
@@ -25,6 +25,27 @@ def by_pairs(machine, features):
     return 1 / (1 + math.exp(-(machine.bias + machine.weights[features].sum() + pairs)))
 
 
+def heads_by_hand(rows):
+    """Least doc_id of each component of 5-word Jaccard similarity 0.8; pairs without a common shingle are not compared."""
+    sets, group, having = [plain_set(r.text) for r in rows], list(range(len(rows))), defaultdict(list)
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in {j for shingle in a or [None] for j in having[shingle]}:
+            if a == sets[j] or len(a & sets[j]) / len(a | sets[j]) >= 0.8:
+                group[find(i)] = find(j)
+        for shingle in a or [None]:
+            having[shingle].append(i)
+    least = {}
+    for i, r in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), r.doc_id), r.doc_id)
+    return set(least.values())
+
+
 def first_bits(text):
     return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
 
@@ -52,8 +73,8 @@ def test_pipeline(spark):
     left = spark.createDataFrame(clean, docs.schema)
     machine = quality.fit_quality(left, labels)
     good = [r for r in clean if by_pairs(machine, quality._features(machine, r.text)) >= quality.THRESHOLD]
-    _, component = brute([(r.doc_id, r.text) for r in good])
-    single = [r for r, c in zip(good, component) if r.doc_id == c]
+    heads = heads_by_hand(good)
+    single = [r for r in good if r.doc_id in heads]
     assert len(rows) > len(clean) > len(good) > len(single) > 0
     copies, vocabulary, want = copies_by_hand(single), Vocabulary(PIECES), Counter()
     for r in single:
