@@ -147,7 +147,11 @@ def demand_in_rain(spark, sf):
     return reports.demand_in_rain(B.enriched(spark, sf))
 
 
-PROFILE = ("distancia", "precio_total_est", "velocidad_mph", "espera_min", "propina")
+#: Every numeric column of trips; a test holds this list against the table's schema.
+PROFILE = (
+    "id", "origen_id", "destino_id", "distancia", "espera_min", "precio_base", "precio_total_est", "propina", "tipo_pago", "num_pasajeros",
+    "duracion_min", "velocidad_mph", "hora", "dia_semana", "es_fin_semana", "hora_sen", "hora_cos", "mes_num",
+)
 
 
 def _per_column(expr):
@@ -200,17 +204,30 @@ def iqr_outliers(spark, sf):
     return profiling.iqr_outliers(B.trips(spark, sf), PROFILE)
 
 
-_CORR = ("distancia", "precio_total_est", "duracion_min", "velocidad_mph", "hora", "dia_semana", "origen_id")
-_RANKS = ", ".join(
-    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE AS r_{c}" for c in _CORR
-)
+_PAIRS = [(a, b) for i, a in enumerate(C.CORRELATION_COLUMNS) for b in C.CORRELATION_COLUMNS[i:]]
+_RANK = "rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE"
+
+
+def _correlated(rich):
+    """Enriched trips with the further columns that are correlated."""
+    return rich.withColumns({
+        "hora_inicio": F.col("hora"), "es_finde": F.col("es_fin_semana"), "duracion_calc_min": X.minutes_between("fecha_inicio", "fecha_fin"),
+        "ingreso_por_milla": F.col("precio_total_est") / F.nullif("distancia", F.lit(0.0)),
+        "ingreso_por_min": F.col("precio_total_est") / F.nullif("duracion_min", F.lit(0.0)),
+    })
 
 
-@query("F20_spearman", " UNION ALL ".join(
-    f"SELECT '{a}' AS variable_a, '{b}' AS variable_b, corr(r_{a}, r_{b}) AS rho FROM (SELECT {_RANKS} FROM trips)"
-    for a in _CORR for b in _CORR), "rho")
+@query("F20_spearman", """
+WITH numbers AS MATERIALIZED (
+  SELECT *, hora AS hora_inicio, es_fin_semana AS es_finde, date_diff('second', fecha_inicio, fecha_fin) / 60.0::DOUBLE AS duracion_calc_min,
+         precio_total_est / nullif(distancia, 0) AS ingreso_por_milla, precio_total_est / nullif(duracion_min, 0) AS ingreso_por_min FROM enriched),
+pairs AS (""" + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, CASE WHEN min(ra) < max(ra) AND min(rb) < max(rb) THEN corr(ra, rb) END AS rho FROM "
+    f"(SELECT {_RANK.format(c=a)} AS ra, {_RANK.format(c=b)} AS rb FROM numbers WHERE {a} IS NOT NULL AND {b} IS NOT NULL)" for a, b in _PAIRS) + """)
+SELECT a AS variable_a, b AS variable_b, rho FROM pairs UNION ALL SELECT b, a, rho FROM pairs WHERE a <> b
+""", "rho")
 def spearman(spark, sf):
-    return profiling.spearman(B.trips(spark, sf), _CORR)
+    return profiling.spearman(_correlated(B.enriched(spark, sf)), C.CORRELATION_COLUMNS)
 
 
 @query("F21_time_range", """

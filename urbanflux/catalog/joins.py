@@ -66,31 +66,32 @@ def busiest_zone_rows(spark, sf):
 
 
 @query("E8_label_encoding", """
-SELECT f.origen_id, f.timestamp_hora, coalesce(i, -1) AS zona_enc, coalesce(i, 0) AS zona_srv FROM zone_hours f
-LEFT JOIN (SELECT origen_id, (row_number() OVER (ORDER BY origen_id) - 1)::INTEGER AS i FROM
-           (SELECT DISTINCT origen_id FROM zone_hours WHERE demanda > (SELECT quantile_cont(demanda, 0.999) FROM zone_hours))) USING (origen_id)
+SELECT f.zona, f.timestamp_hora, coalesce(i, -1) AS zona_enc, coalesce(i, 0) AS zona_srv
+FROM (SELECT origen_id + (CASE WHEN hora >= 20 THEN 10 ELSE 0 END) AS zona, timestamp_hora, demanda FROM zone_hours) f
+LEFT JOIN (SELECT origen_id AS zona, (row_number() OVER (ORDER BY origen_id) - 1)::INTEGER AS i FROM
+           (SELECT DISTINCT origen_id FROM zone_hours)) USING (zona)
 """)
 def label_encoding(spark, sf):
-    """A dictionary of the zones with extreme hours leaves other zones unseen."""
-    z = counts(spark, sf)
-    cut = z.agg(F.percentile("demanda", F.lit(0.999)).alias("q")).scalar()
-    dictionary = label_dictionary(z.where(F.col("demanda") > cut), "origen_id")
-    both = encode_labels(encode_labels(z, dictionary, "origen_id", "zona_enc"), dictionary, "origen_id", "zona_srv", unseen=0)
-    return both.select("origen_id", "timestamp_hora", "zona_enc", "zona_srv")
+    """All zones are in the dictionary; requests of the late hours ask for zones ten further, some of them unseen."""
+    z = counts(spark, sf).withColumnRenamed("origen_id", "zona")
+    dictionary = label_dictionary(z, "zona")
+    asked = z.withColumn("zona", F.col("zona") + F.when(F.hour("timestamp_hora") >= 20, 10).otherwise(0))
+    both = encode_labels(encode_labels(asked, dictionary, "zona", "zona_enc"), dictionary, "zona", "zona_srv", unseen=0)
+    return both.select("zona", "timestamp_hora", "zona_enc", "zona_srv")
 
 
 @query("E9_calendar_spine", """
 SELECT d::DATE AS fecha, coalesce(c, 0) AS pedidos FROM
-(SELECT unnest(generate_series(min(o_orderdate)::DATE, max(o_orderdate)::DATE, INTERVAL 1 DAY)) AS d FROM orders)
-LEFT JOIN (SELECT o_orderdate::DATE AS f, count(*) AS c FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) ON f = d::DATE
+(SELECT unnest(generate_series(min(o_orderdate)::DATE - 7, max(o_orderdate)::DATE + 7, INTERVAL 1 DAY)) AS d FROM orders)
+LEFT JOIN (SELECT o_orderdate::DATE AS f, count(*) AS c FROM orders GROUP BY 1) ON f = d::DATE
 """, dates="fecha")
 def calendar_spine(spark, sf):
+    """All orders by day, on a calendar that reaches a week beyond them."""
     o = B.table(spark, sf, "orders")
-    span = o.agg(F.struct(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("b")).alias("s"))
+    first, last = F.date_sub(F.to_date(F.min("o_orderdate")), 7), F.date_add(F.to_date(F.max("o_orderdate")), 7)
+    span = o.agg(F.struct(first.alias("a"), last.alias("b")).alias("s"))
     days = D.calendar_days(spark, span.scalar()["a"], span.scalar()["b"])
-    facts = o.where("o_orderpriority = '1-URGENT'").groupBy(F.to_date("o_orderdate").alias("fecha")).agg(
-        F.count(F.lit(1)).alias("pedidos")
-    )
+    facts = o.groupBy(F.to_date("o_orderdate").alias("fecha")).agg(F.count(F.lit(1)).alias("pedidos"))
     return days.join(facts, "fecha", "left").select("fecha", F.coalesce("pedidos", F.lit(0)).alias("pedidos"))
 
 
@@ -107,9 +108,8 @@ CONTEXT_MODES = ("tipo_vehiculo", "franja_horaria")
 
 
 def small_context(spark, sf):
-    """Context of the trips with a known tip, so that some keys have no exact match."""
-    known = B.trips(spark, sf).where("propina is not null and num_pasajeros is not null")
-    return context.context_table(known, CONTEXT_MEANS, CONTEXT_MODES)
+    """Context of all trips; requests are shifted, so that some keys have no exact match."""
+    return context.context_table(B.trips(spark, sf), CONTEXT_MEANS, CONTEXT_MODES)
 
 
 _CONTEXT_SQL = """
@@ -117,10 +117,10 @@ ctx AS (
   SELECT origen_id, mes_num, dia_semana, hora, avg(distancia) AS distancia, avg(duracion_min) AS duracion_min,
          avg(velocidad_mph) AS velocidad_mph, avg(precio_base) AS precio_base, avg(espera_min) AS espera_min,
          avg(propina) AS propina, count(*) AS n_ctx
-  FROM trips WHERE propina IS NOT NULL AND num_pasajeros IS NOT NULL GROUP BY 1, 2, 3, 4),
+  FROM trips GROUP BY 1, 2, 3, 4),
 tv AS (SELECT * FROM (SELECT origen_id, mes_num, dia_semana, hora, tipo_vehiculo, row_number() OVER (
          PARTITION BY origen_id, mes_num, dia_semana, hora ORDER BY count(*) DESC, tipo_vehiculo) AS rn
-       FROM trips WHERE propina IS NOT NULL AND num_pasajeros IS NOT NULL GROUP BY 1, 2, 3, 4, 5) WHERE rn = 1),
+       FROM trips GROUP BY 1, 2, 3, 4, 5) WHERE rn = 1),
 cm AS (SELECT ctx.*, tv.tipo_vehiculo FROM ctx JOIN tv USING (origen_id, mes_num, dia_semana, hora))
 """
 

@@ -39,15 +39,14 @@ def borough_matrix(spark, sf):
 
 
 @query("I2_top_zone_matrix", """
-SELECT origen_zona, sum(viajes)::BIGINT AS total FROM (
-  SELECT origen_zona, destino_zona, count(*) AS viajes FROM zoned GROUP BY 1, 2 ORDER BY viajes DESC, 1, 2 LIMIT 15) GROUP BY 1
+WITH top AS (SELECT origen_zona, destino_zona, count(*) AS viajes FROM zoned GROUP BY 1, 2 ORDER BY viajes DESC, 1, 2 LIMIT 15)
+SELECT origen_zona, destino_zona, coalesce(viajes, 0) AS viajes FROM (SELECT DISTINCT origen_zona FROM top)
+CROSS JOIN (SELECT DISTINCT destino_zona FROM top) LEFT JOIN top USING (origen_zona, destino_zona)
 """)
 def top_zone_matrix(spark, sf):
-    """The matrix columns depend on the data, so they are added up for comparison."""
+    """Every cell of the matrix of the 15 busiest routes, zeros included, in long form."""
     top = flows.top_routes(_zoned(spark, sf), "origen_zona", "destino_zona", 15)
-    wide = flows.od_matrix(top, "origen_zona", "destino_zona")
-    cells = [F.col(f"`{c}`") for c in wide.columns if c != "origen_zona"]
-    return wide.select("origen_zona", sum(cells[1:], cells[0]).cast("bigint").alias("total"))
+    return flows.matrix_cells(flows.od_matrix(top, "origen_zona", "destino_zona"), "origen_zona", "destino_zona")
 
 
 @query("I3_price_gap_by_month", """

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -179,39 +181,34 @@ def query_demand(
     top: int | None = None,
     require_filter: bool = True,
 ) -> DataFrame:
-    """Filter the zone by band table; with ``top`` only its rows of highest mean demand, in order.
+    """Rows of the zone by band table that meet all filters, highest mean demand first; with ``top`` only the first.
 
     ``zona`` is an id or a text found in zone, borough or service zone, ignoring
-    case and accents. With ``require_filter=False`` empty texts mean no filter.
+    case and accents. With ``require_filter=False`` empty texts mean no filter. Zone
+    and band settle ties.
     """
-    if not require_filter:
-        zona, franja, nivel, demanda_min, demanda_max = (
-            None if v is None or str(v).strip() == "" else v
-            for v in (zona, franja, nivel, demanda_min, demanda_max)
-        )
-    elif all(v is None for v in (zona, franja, nivel, demanda_min, demanda_max)):
+    asked = {"zona": zona, "franja": franja, "nivel": nivel, "demanda_min": demanda_min, "demanda_max": demanda_max}
+    asked = {k: v for k, v in asked.items() if v is not None and (require_filter or str(v).strip())}
+    if require_filter and not asked:
         raise ValueError("a demand query needs at least one filter")
-
-    out = summary
-    if zona is not None:
-        text = str(zona).strip()
-        if text.isdigit():
-            out = out.where(F.col("origen_id").cast("string") == text)
-        else:
-            hit = F.lit(False)
-            for c in ("origen_zona", "origen_barrio", "origen_service_zone"):
-                if c in summary.columns:
-                    hit = hit | X.contains_text(c, text)
-            out = out.where(hit)
-    if franja is not None:
-        out = out.where(X.plain_band("franja_horaria") == X.plain_band(F.lit(franja)))
-    if nivel is not None:
-        out = out.where(X.plain_text("nivel_demanda") == X.plain_text(F.lit(nivel)))
-    if demanda_min is not None:
-        out = out.where(F.col("demanda_media") >= float(demanda_min))
-    if demanda_max is not None:
-        out = out.where(F.col("demanda_media") <= float(demanda_max))
-    return out if top is None else top_demand(out, top)
+    mean = F.col("demanda_media")
+    tests = {
+        "zona": lambda v: _names_zone(summary, str(v).strip()),
+        "franja": lambda v: X.plain_band("franja_horaria") == X.plain_band(F.lit(v)),
+        "nivel": lambda v: X.plain_text("nivel_demanda") == X.plain_text(F.lit(v)),
+        "demanda_min": lambda v: mean >= float(v),
+        "demanda_max": lambda v: mean <= float(v),
+    }
+    kept = summary.where(reduce(and_, [tests[k](v) for k, v in asked.items()], F.lit(True)))
+    ordered = kept.orderBy(mean.desc(), "origen_id", "franja_horaria")
+    return ordered if top is None else ordered.limit(int(top))
+
+
+def _names_zone(summary: DataFrame, text: str) -> Column:
+    if text.isdigit():
+        return F.col("origen_id").cast("string") == text
+    named = [c for c in ("origen_zona", "origen_barrio", "origen_service_zone") if c in summary.columns]
+    return reduce(or_, [X.contains_text(c, text) for c in named], F.lit(False))
 
 
 def top_demand(summary: DataFrame, top: int) -> DataFrame:

@@ -24,6 +24,11 @@ def od_matrix(pairs: DataFrame, origin: str, destination: str, columns: Sequence
     return wide.agg(F.sum("viajes")).fillna(0)
 
 
+def matrix_cells(matrix: DataFrame, origin: str, destination: str) -> DataFrame:
+    """The cells of an origin-destination matrix, one row each."""
+    return matrix.unpivot([origin], [F.col(f"`{c}`") for c in matrix.columns if c != origin], destination, "viajes")
+
+
 def zone_nodes(trips: DataFrame) -> DataFrame:
     """Every zone that appears at either end."""
     ends = trips.select(F.explode(F.array("origen_id", "destino_id")).alias("zona_id"))
