@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import contract as C
-from ..operators import context, evaluation, models, scoring, splits, supply
+from ..operators import context, evaluation, linear, models, scoring, splits, supply
 from ..operators.imputation import fill_passengers, fill_tips
 from ..plans import feature_chain
 from ..session import written_table
@@ -199,6 +199,74 @@ def zone_options(spark, sf):
     return scoring.zone_options(report(spark, sf))
 
 
+# --- linear models against closed forms ------------------------------------------------
+
+_RIDGE_SQL = """
+WITH m AS (SELECT avg(distancia) AS m1, stddev(distancia) AS s1, avg(duracion_min) AS m2, stddev(duracion_min) AS s2,
+                  avg(velocidad_mph) AS m0 FROM trips),
+g AS (SELECT sum(a * a) + 1 AS aa, sum(a * b) AS ab, sum(b * b) + 1 AS bb, sum(a * y) AS ay, sum(b * y) AS byy
+      FROM (SELECT (distancia - m1) / s1 AS a, (duracion_min - m2) / s2 AS b, velocidad_mph - m0 AS y FROM trips CROSS JOIN m)),
+r AS (SELECT (bb * ay - ab * byy) / (aa * bb - ab * ab) AS w1, (aa * byy - ab * ay) / (aa * bb - ab * ab) AS w2, m.* FROM g CROSS JOIN m)
+"""
+_RIDGE = ("distancia", "duracion_min")
+
+
+@query("N4_ridge_weights", _RIDGE_SQL + """
+SELECT 'intercepto' AS feature, m0 AS peso, NULL::DOUBLE AS media, NULL::DOUBLE AS desviacion FROM r
+UNION ALL SELECT 'distancia', w1, m1, s1 FROM r UNION ALL SELECT 'duracion_min', w2, m2, s2 FROM r
+""", "peso media desviacion", 8)
+def ridge_weights(spark, sf):
+    t = B.trips(spark, sf)
+    return linear.ridge(t, _RIDGE, "velocidad_mph").table(t)
+
+
+@query("N4_ridge_scores", _RIDGE_SQL + """
+SELECT id, m0 + w1 * ((distancia - m1) / s1) + w2 * ((duracion_min - m2) / s2) AS pred FROM trips CROSS JOIN r
+""", "pred", 6)
+def ridge_scores(spark, sf):
+    """The speed of every trip by the ridge line through distance and duration."""
+    t = B.trips(spark, sf)
+    return t.select("id", linear.ridge(t, _RIDGE, "velocidad_mph").score().alias("pred"))
+
+
+_LOGIT = ("oferta_inferida", "espera_media")
+
+
+def _newton(step):
+    """One Newton step of the balanced logistic regression: sums at the weights, then the 3 x 3 system by Cramer's rule."""
+    det = "(h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02))"
+    return f"""
+q{step} AS MATERIALIZED (SELECT max(b0) AS b0, max(b1) AS b1, max(b2) AS b2, sum(w * (y - p)) AS g0, sum(w * (y - p) * x1) - max(b1) AS g1,
+  sum(w * (y - p) * x2) - max(b2) AS g2, sum(v) AS h00, sum(v * x1) AS h01, sum(v * x2) AS h02, sum(v * x1 * x1) + 1 AS h11,
+  sum(v * x1 * x2) AS h12, sum(v * x2 * x2) + 1 AS h22
+  FROM (SELECT *, w * p * (1 - p) AS v FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM x CROSS JOIN b{step}))),
+b{step + 1} AS MATERIALIZED (SELECT
+  b0 + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / {det} AS b0,
+  b1 + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / {det} AS b1,
+  b2 + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / {det} AS b2 FROM q{step})"""
+
+
+_STEPS = 12
+
+
+@query("N3_logistic_scores", f"""
+WITH z AS MATERIALIZED (SELECT origen_id, ventana_inicio, split, target::DOUBLE AS y, coalesce(oferta_inferida, 0)::DOUBLE AS f1,
+                               coalesce(espera_media, 0)::DOUBLE AS f2 FROM good_zones),
+m AS MATERIALIZED (SELECT avg(f1) AS m1, stddev(f1) AS s1, avg(f2) AS m2, stddev(f2) AS s2, count(*) AS n, sum(y) AS ones FROM z
+                   WHERE split = 'train' AND y IS NOT NULL),
+x AS MATERIALIZED (SELECT y, (f1 - m1) / s1 AS x1, (f2 - m2) / s2 AS x2, n / (2.0::DOUBLE * CASE WHEN y = 1 THEN ones ELSE n - ones END) AS w
+                   FROM z CROSS JOIN m WHERE split = 'train' AND y IS NOT NULL),
+b0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2),{",".join(_newton(i) for i in range(_STEPS))}
+SELECT origen_id, ventana_inicio, 1 / (1 + exp(-(b0 + b1 * ((f1 - m1) / s1) + b2 * ((f2 - m2) / s2)))) AS exito_prob
+FROM z CROSS JOIN m CROSS JOIN b{_STEPS} WHERE split = 'test'
+""", "exito_prob", 7)
+def logistic_scores(spark, sf):
+    """Chance of every test window by the balanced regression on supply and mean wait."""
+    rows = _window_rows(spark, sf)
+    model = linear.balanced_logistic(_part(rows, "train"), _LOGIT, "target")
+    return _part(rows, "test").select("origen_id", "ventana_inicio", model.probability().alias("exito_prob"))
+
+
 # --- fitted models: compared by rows only ---------------------------------------------
 
 def _demand_rows(spark, sf):

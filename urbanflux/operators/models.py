@@ -111,10 +111,16 @@ def fit_good_zone_classifier(
 def fit_ridge(
     train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, alpha: float = 1.0
 ) -> PipelineModel:
+    """Least squares with ``alpha`` times the squared weights.
+
+    The solver divides the label by its deviation but not the penalty by its square, so
+    the penalty is given in deviations of the label.
+    """
     rows = model_matrix(train.where(F.col(target).isNotNull()), numeric)
+    n, spread = rows.agg(F.count(F.lit(1)), F.stddev_pop(F.col(target).cast("double"))).first()
     ridge = LinearRegression(
         labelCol=target, featuresCol="features", predictionCol="_pred", elasticNetParam=0.0,
-        regParam=alpha / max(rows.count(), 1), standardization=False,
+        regParam=alpha * (spread or 0.0) / max(n, 1), standardization=False,
     )
     return Pipeline(stages=[*feature_stages(numeric, categorical), ridge]).fit(rows)
 
