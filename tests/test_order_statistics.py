@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from urbanflux.functions import order_statistics
 from urbanflux.functions.order_statistics import exact_quantile, exact_quantiles, score_curve
 from urbanflux.operators import splits
 from urbanflux.operators.evaluation import ranking_metrics
@@ -88,6 +89,21 @@ def test_positional_split(spark, n, days):
             assert max(last[early]) <= min(last[late])
 
 
+def test_two_counting_scans(spark, monkeypatch):
+    """A third of all rows at one instant: the rows are counted twice, whatever the levels."""
+    df = spark.range(3000).selectExpr(
+        "id", "timestamp_ntz'2025-01-01' + make_dt_interval(0, 0, 0, if(id % 3 = 0, 500.25, id / 3)) as t")
+    counted = []
+    stored = order_statistics.written_table
+    monkeypatch.setattr(order_statistics, "written_table", lambda d, name: counted.append(name) or stored(d, name))
+    rows = splits.split_by_position(df, "t", ["id"], (0.4, 0.2)).collect()
+    assert counted.count("rank_counts") == 2
+    ordered = sorted(rows, key=lambda r: r.t)
+    assert [sum(r.split == s for r in rows) for s in ("train", "val", "test")] == [1200, 600, 1200]
+    assert max(r.t for r in rows if r.split == "train") == ordered[1199].t
+    assert max(r.t for r in rows if r.split == "val") == ordered[1799].t
+
+
 def test_auc_and_average_precision(spark):
     rng = np.random.default_rng(5)
     score = np.round(rng.random(600), 2)

@@ -2,7 +2,9 @@ import json
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from urbanflux.catalog import base as B
 from urbanflux.operators import enrichment
 from urbanflux.sources import dimensions as D
 from urbanflux.sources import sinks
@@ -127,3 +129,16 @@ def test_weather_gaps_take_the_median_of_the_file(spark):
     out = enrichment.fill_weather(df).collect()
     assert sorted((r.mes_num, r.temp_c, r.viento_kmh) for r in out) == [(1, 1.0, 0.0), (1, 3.0, 0.0), (1, 3.0, 0.0), (1, 3.0, 0.0), (2, 0.0, 4.0)]
     assert all(r.precipitation is not None and r.lluvia is not None and r.nieve is not None for r in out)
+
+
+def test_weather_medians_without_joining_trips(spark, sf):
+    """The medians of counted zone hours are those of the joined trips; unknown zones have no reading."""
+    trips = B.trips(spark, sf).withColumn("origen_id", F.when(F.col("id") % 11 == 0, 999).otherwise(F.col("origen_id")))
+    zones, weather = B.zones(spark, sf), B.weather(spark, sf)
+    joined = enrichment.with_weather(enrichment.with_zones(trips, zones), weather)
+    counts = joined.groupBy("tipo_vehiculo", "mes_num", "temp_c", "viento_kmh").agg(F.count(F.lit(1)).alias("c"))
+    want = enrichment._weighted_medians(counts, ("tipo_vehiculo", "mes_num"))
+    got = enrichment.weather_medians(trips, zones, weather)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 1
+    empty = enrichment.weather_medians(trips.limit(0), zones, weather)
+    assert empty.count() == 0

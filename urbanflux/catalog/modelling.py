@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import contract as C
-from ..operators import context, evaluation, linear, models, scoring, splits, supply
+from ..operators import context, evaluation, linear, models, scoring, splits, supply, trees
 from ..operators.imputation import fill_passengers, fill_tips
 from ..plans import feature_chain
 from ..session import written_table
@@ -303,6 +303,9 @@ def demand_forest(spark, sf):
 _ZONE_FEATURES = tuple(c for c in scoring.CLASSIFIER_FEATURES if c != "demanda_p1")
 
 
+_ZONE_NUMERIC = tuple(c for c in _ZONE_FEATURES if c != "zona_enc")
+
+
 def _classifier(rows, with_cascade=False):
     feats = scoring.CLASSIFIER_FEATURES if with_cascade else _ZONE_FEATURES
     dictionary = models.label_dictionary(_part(rows, "train"), "origen_id")
@@ -355,6 +358,70 @@ def feature_vectors(spark, sf):
     return vectors.select("id", F.posexplode(vector_to_array("features")).alias("posicion", "valor"))
 
 
+# --- fitted trees as tables of nodes: the table must say what the model says -------------
+
+def _compared(df, model, label):
+    """Rows per split, and how many the table of nodes scores otherwise than the model."""
+    nodes = written_table(trees.node_table(df.sparkSession, model), "nodes")
+    scored = trees.score_by_nodes(df.where(F.col(label).isNotNull()), model, nodes, "_tabla")
+    differs = F.coalesce(F.abs(F.col("_tabla") - F.col("_pred")) > 1e-9, F.lit(True))
+    return scored.groupBy("split").agg(F.count(F.lit(1)).alias("filas"), F.count_if(differs).alias("distintas"))
+
+
+_AGREED = "SELECT split, count(*) AS filas, 0::BIGINT AS distintas FROM {} WHERE {} IS NOT NULL GROUP BY 1"
+
+
+@query("N2_forest_nodes", _AGREED.format("features", "target"))
+def forest_nodes(spark, sf):
+    """Every row scored by the forest's node table."""
+    rows = _demand_rows(spark, sf)
+    return _compared(models.model_matrix(rows, C.P1_FEATURES), _demand_model(rows), "target")
+
+
+@query("N5_boosted_nodes", _AGREED.format("good_zones", "target"))
+def boosted_nodes(spark, sf):
+    """The label of every window by boosted trees on scaled features, scored by their node table."""
+    rows = _window_rows(spark, sf)
+    model = models.fit_boosted_tips(_part(rows, "train"), _ZONE_NUMERIC, (), "target", rounds=20)
+    return _compared(models.model_matrix(rows, _ZONE_NUMERIC), model, "target")
+
+
+@query("N17_refit_nodes", _AGREED.format("features", "target"))
+def refit_nodes(spark, sf):
+    """The forest of all three parts, scored by its node table."""
+    rows = _demand_rows(spark, sf)
+    model = models.refit(models.fit_demand_forest, *[_part(rows, name) for name in ("train", "val", "test")])
+    return _compared(models.model_matrix(rows, C.P1_FEATURES), model, "target")
+
+
+@query("N2_root_nodes", """
+WITH y AS (SELECT target::DOUBLE AS y FROM good_zones WHERE split = 'train' AND target IS NOT NULL)
+SELECT count(*)::DOUBLE AS filas, avg(y) AS valor, var_pop(y) AS impureza, 0::BIGINT AS inconsistentes FROM y
+""", "valor impureza")
+def root_nodes(spark, sf):
+    """Rows, mean and variance at the root of the first boosted tree, and nodes whose sums do not add up."""
+    rows = _part(_window_rows(spark, sf), "train")
+    model = models.fit_boosted_tips(rows, _ZONE_NUMERIC, (), "target", rounds=3, subsample=1.0)
+    nodes = written_table(trees.node_table(spark, model), "nodes")
+    off = trees.inconsistent_nodes(nodes).agg(F.count(F.lit(1)).alias("inconsistentes"))
+    root = nodes.where("arbol = 0 AND nodo = 0").select("filas", "valor", "impureza")
+    return root.withColumn("inconsistentes", off.scalar())
+
+
+@query("N15_importance_of_nodes", " UNION ALL ".join(
+    f"SELECT '{name}' AS feature, false AS distinta" for name in C.P1_FEATURES))
+def importance_of_nodes(spark, sf):
+    """Whether a feature's importance by the gains of its nodes differs from the model's."""
+    rows = _demand_rows(spark, sf)
+    model = _demand_model(rows)
+    mine = trees.importance(trees.node_table(spark, model), per_tree=True)
+    ranking = models.feature_ranking(model, models.model_matrix(rows, C.P1_FEATURES))
+    order = spark.createDataFrame(list(enumerate(C.P1_FEATURES)), "variable int, feature string")
+    both = ranking.join(order, "feature").join(mine, "variable", "left")
+    off = F.abs(F.coalesce("importancia", F.lit(0.0)) - F.col("peso")) > 1e-9
+    return both.select("feature", off.alias("distinta"))
+
+
 @query("N15_feature_ranking")
 def feature_ranking(spark, sf):
     rows = _demand_rows(spark, sf)

@@ -118,20 +118,25 @@ def exact_quantile(df: DataFrame, column: str, prob: float) -> Column:
 
 
 def keys_at_ranks(
-    df: DataFrame, levels: Sequence[tuple[str, Column]], ranks: Sequence[Column]
+    df: DataFrame, levels: Sequence[tuple[str, Column]], ranks: Sequence[Column], coarse: int = 1
 ) -> DataFrame:
     """The ordering key of the rows at given 0-based ranks, one row per rank.
 
     ``levels`` refine the order step by step (day, second, exact time, hash range,
-    id, ...). Each step only counts rows under the prefix found so far, so no step
-    holds more groups than one level has values below one prefix. ``ranks`` are
-    expressions of ``n``, the row count. Returns ``corte, n, rango, <levels...>``.
+    id, ...). Two scans count rows, however many levels there are: the first by the
+    ``coarse`` first levels, whose values must be few beside the rows; the second by the
+    whole key, only below the prefixes that hold a wanted rank, for all ranks at once.
+    Both counts are stored, and each level is looked up in them under the prefix found
+    so far, so no window holds more than one level's values below one prefix. ``ranks``
+    are expressions of ``n``, the row count. Returns ``corte, n, rango, <levels...>``.
     """
     names = [name for name, _ in levels]
     keyed = df.select(*[expr.alias(name) for name, expr in levels])
+    head = names[:coarse]
+    counted = written_table(keyed.groupBy(*head).agg(F.count(F.lit(1)).alias("c")), "rank_counts")
 
     first = names[0]
-    counts = keyed.groupBy(first).agg(F.count(F.lit(1)).alias("c"))
+    counts = counted.groupBy(first).agg(F.sum("c").alias("c"))
     everything = Window.partitionBy()
     wanted = F.posexplode(F.array(*[r.cast("bigint") for r in ranks]))
     found = (
@@ -147,11 +152,15 @@ def keys_at_ranks(
 
     for depth in range(1, len(names)):
         prefix, name = names[:depth], names[depth]
+        if depth == coarse:
+            found = written_table(found, "rank_prefixes")
+            inside = keyed.join(closed_domain(found.select(*prefix).distinct()), prefix)
+            counted = written_table(inside.groupBy(*names).agg(F.count(F.lit(1)).alias("c")), "rank_counts")
         carried = ["corte", "n", "rango", *prefix, "_rank"]
         counts = (
-            keyed.join(closed_domain(found), prefix)
+            counted.join(closed_domain(found), prefix)
             .groupBy(*carried, name)
-            .agg(F.count(F.lit(1)).alias("c"))
+            .agg(F.sum("c").alias("c"))
         )
         order = Window.partitionBy("corte").orderBy(name)
         found = (
@@ -159,7 +168,7 @@ def keys_at_ranks(
             .where(hit)
             .select("corte", "n", "rango", *prefix, name, (F.col("_rank") - F.col("_below")).alias("_rank"))
         )
-    return found.drop("_rank")
+    return written_table(found.drop("_rank"), "rank_keys")
 
 
 def score_curve(df: DataFrame, label: str, score: str) -> DataFrame:

@@ -30,24 +30,46 @@ def with_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
     return keyed.join(hourly, ["_hora", "origen_barrio"], "left").drop("_hora")
 
 
-def fill_weather(trips: DataFrame, by: tuple[str, ...] = ("tipo_vehiculo", "mes_num")) -> DataFrame:
+_MEASURES = ("temp_c", "viento_kmh")
+
+
+def _weighted_medians(counts: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    return counts.groupBy(*by).agg(*[F.percentile(m, F.lit(0.5), F.col("c")).alias(f"_{m}") for m in _MEASURES])
+
+
+def weather_medians(
+    trips: DataFrame, zones: DataFrame, weather: DataFrame, by: tuple[str, ...] = ("tipo_vehiculo", "mes_num")
+) -> DataFrame:
+    """Median readings over the trips of each file, without joining a trip.
+
+    Trips are counted per file, hour and pickup zone; zones and readings are joined to
+    these counts, which are as few as the zones times the hours of the files.
+    """
+    hourly = one_per_hour(weather).select(F.col("fecha_hora").alias("_hora"), "borough", *_MEASURES)
+    boroughs = zones.select(F.col("LocationID").alias("origen_id"), F.col("Borough").alias("borough"))
+    counts = trips.groupBy(*by, X.floor_minutes("fecha_inicio").alias("_hora"), "origen_id").agg(F.count(F.lit(1)).alias("c"))
+    counts = counts.join(boroughs, "origen_id", "left").groupBy(*by, "_hora", "borough").agg(F.sum("c").alias("c"))
+    return _weighted_medians(counts.join(hourly, ["_hora", "borough"], "left"), by)
+
+
+def fill_weather(
+    trips: DataFrame, by: tuple[str, ...] = ("tipo_vehiculo", "mes_num"), medians: DataFrame | None = None
+) -> DataFrame:
     """Flags and precipitation to 0; temperature and wind to the median of their file.
 
-    A file is one service and month. Trips are first counted per distinct pair of
-    readings, at most one per hour and borough of the month, and the medians are
-    weighted by those counts: one pass, and no task holds the readings of all trips.
+    A file is one service and month. ``medians`` are those of ``weather_medians``; without
+    them trips are first counted per distinct pair of readings, at most one per hour and
+    borough of the month, and the medians are weighted by those counts: one pass, and no
+    task holds the readings of all trips.
     """
-    measures = ["temp_c", "viento_kmh"]
-    counts = trips.groupBy(*by, *measures).agg(F.count(F.lit(1)).alias("c"))
-    medians = counts.groupBy(*by).agg(*[
-        F.percentile(m, F.lit(0.5), F.col("c")).alias(f"_{m}") for m in measures
-    ])
+    if medians is None:
+        medians = _weighted_medians(trips.groupBy(*by, *_MEASURES).agg(F.count(F.lit(1)).alias("c")), by)
     filled = trips.join(closed_domain(medians), list(by), "left")
     return filled.withColumns({
-        **{m: F.coalesce(F.col(m), F.col(f"_{m}"), F.lit(0.0)) for m in measures},
+        **{m: F.coalesce(F.col(m), F.col(f"_{m}"), F.lit(0.0)) for m in _MEASURES},
         **{c: F.coalesce(F.col(c), F.lit(0)) for c in ("lluvia", "nieve")},
         "precipitation": F.coalesce("precipitation", F.lit(0.0)),
-    }).drop(*[f"_{m}" for m in measures])
+    }).drop(*[f"_{m}" for m in _MEASURES])
 
 
 def with_holidays(trips: DataFrame, holidays: DataFrame) -> DataFrame:
@@ -70,5 +92,6 @@ def enrich_trips(
 ) -> DataFrame:
     if "mes_num" not in trips.columns:
         trips = trips.withColumn("mes_num", F.month("fecha_inicio"))
-    out = fill_weather(with_weather(with_zones(trips, zones), weather))
+    medians = weather_medians(trips, zones, weather)
+    out = fill_weather(with_weather(with_zones(trips, zones), weather), medians=medians)
     return with_city_events(with_holidays(out, holidays), daily)

@@ -30,8 +30,8 @@ def hash_levels(key: Sequence[str]) -> list[tuple[str, Column]]:
 def capped_sample(df: DataFrame, n: int, *key: str) -> DataFrame:
     """At most ``n`` rows, those with the lowest hash of a unique key.
 
-    The cut is the key of row ``n`` in hash order, found by counting; the rows are
-    then filtered in place, so no task ever holds the sample.
+    The cut is the key of row ``n`` in hash order, found by two counting scans; the rows
+    are then filtered in place, so no task ever holds the sample.
     """
     levels = hash_levels(key)
     names = [name for name, _ in levels]
@@ -83,8 +83,8 @@ def split_by_position(
     """First 70 % of the rows in time order train, next 15 % val, the rest test.
 
     Equal times are ordered by a hash of the unique key. The two boundary rows are
-    found by counting days, seconds, times and hash ranges, and the split is then a
-    comparison with their keys: the trips are neither sorted nor shuffled.
+    found by counting seconds, then times and hashes of the boundary seconds, and the
+    split is then a comparison with their keys: the trips are neither sorted nor shuffled.
     """
     t = F.col(ts)
     (_, high), *low = hash_levels(key)
@@ -98,7 +98,7 @@ def split_by_position(
     totals = [sum(shares[: i + 1]) for i in range(len(shares))]
     # the last row of each part; an empty part has rank -1 and no boundary row
     ranks = [F.floor(F.col("n") * F.lit(s)) - 1 for s in totals]
-    cuts = keys_at_ranks(df, levels, ranks)
+    cuts = keys_at_ranks(df, levels, ranks, coarse=2)
     rows = cuts.agg(*[
         F.max(F.when(F.col("corte") == i, F.struct(*names))).alias(f"c{i}") for i in range(len(ranks))
     ]).select(F.struct("c0", "c1").alias("c"))
