@@ -116,3 +116,30 @@ def test_shards_of_little(spark):
     one = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert [(r.slot, r["size"]) for r in shard_documents(one).collect()] == [(0, 9)]
     assert shard_documents(one.limit(0)).count() == 0
+
+
+def test_rows_equal_in_text_and_id_are_parted(spark):
+    """Half of all rows equal in text and id: twelve splitters fall among them."""
+    same = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("again").alias("text"))
+    other = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.format_string("%04d", "id")).alias("text"))
+    rows = shard_documents(same.union(other).repartition(5)).select("doc_id", "text", "size", "shard", "slot").collect()
+    sizes, slots = Counter(), {}
+    for r in rows:
+        sizes[r.shard] += r["size"]
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(rows) == 10_000 and len(sizes) == 24
+    assert max(sizes.values()) - min(sizes.values()) <= 4 * 13  # a few rows at either edge
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_splitters_by_hand(spark):
+    """Each splitter is the edge nearest to its share among all sorted (key, row) pairs, within the tolerance."""
+    rng = np.random.default_rng(8)
+    keys = np.concatenate([rng.integers(0, 1 << 62, 600), np.full(300, 12345 << 40), rng.integers(0, 1 << 20, 300)])
+    data = sorted((int(k), int(r), int(z)) for k, r, z in zip(keys, rng.integers(0, 1 << 62, 1200), rng.integers(8, 60, 1200)))
+    keyed = spark.createDataFrame(data, "key long, row long, size long")
+    total = sum(z for _, _, z in data)
+    for number, (key, row) in enumerate(sharding.splitters(keyed, 7, 0.001), 1):
+        below = sum(z for k, r, z in data if (k, r) < (key, row))
+        assert abs(below - total * number / 7) <= 60  # half of the largest row, or of two in one bin of rows
+    assert sharding.splitters(keyed.limit(0), 3) == [(1 << 63, 0)] * 2

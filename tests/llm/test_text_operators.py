@@ -2,7 +2,9 @@
 
 import os
 import zlib
+from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -161,16 +163,17 @@ def test_codes(top):
 # --- top-k
 
 def best_by_hand(rows, k=20):
-    held = {}
-    for i, v in rows:
-        if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and len(v) == 3:
-            q = [int(np.floor(64 * float(np.float32(x)))) for x in v]
-            held[i] = max(held.get(i, q), q)
-    out = set()
-    for i, q in held.items():
+    """Every row is a candidate of every other row of its length, whatever its id."""
+    usable = [
+        (i, [int(np.floor(64 * float(np.float32(x)))) for x in v]) for i, v in rows
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    out = Counter()
+    for at, (i, q) in enumerate(usable):
         if i % 20 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(q, c)), j) for j, c in held.items() if j != i)
-            out |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:k])}
+            others = [(j, c) for there, (j, c) in enumerate(usable) if there != at and len(c) == len(q)]
+            scored = sorted((-sum(a * b for a, b in zip(q, c)), j) for j, c in others)
+            out.update((i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:k]))
     return out
 
 
@@ -182,12 +185,25 @@ def test_top_k(spark, monkeypatch, n, scale, k):
     rows = [(i, [float(x) for x in rng.normal(size=3) * scale]) for i in range(n)]
     rows += [(2000 + i, [0.5, 0.5, 0.5]) for i in range(n // 3)]  # a hot vector
     rows += [(3000, None), (3020, []), (3040, [1.0, None, 2.0]), (3060, [float("nan"), 1.0, 1.0]), (3080, [float("inf"), 0.0, 0.0]),
-             (None, [1.0, 1.0, 1.0]), (3100, [1.0, 2.0]), (20, [0.1, 0.2, 0.3])]
+             (None, [1.0, 1.0, 1.0]), (3100, [1.0, 2.0]), (3101, [1.0, 2.0]), (3102, [-1.0, 5.0]), (3200, [7.0]), (20, [0.1, 0.2, 0.3]), (1, [0.5, 0.5, 0.5])]
+    rows += [(40, [0.5, 0.5, 0.5])] * 30  # an id that repeats, rows and all
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"label": F.lit(1), "score": F.lit("s"), "place": F.lit(0)})
-    got = {(r.query_id, r.rank, r.vec_id, r.score) for r in top_k(df, k=k).collect()}
+    got = Counter((r.query_id, r.rank, r.vec_id, r.score) for r in top_k(df, k=k).collect())
     assert got == best_by_hand(rows, k)
 
 
+def test_top_k_equals_its_sql(spark, tmp_path):
+    """Repeated ids and odd lengths mean the same to both."""
+    rng = np.random.default_rng(4)
+    rows = [(int(i), [float(x) for x in rng.normal(size=2 + (n % 9 == 0))]) for n, i in enumerate(rng.integers(0, 120, 400))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    df.write.parquet(str(tmp_path / "embeddings"))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings/*.parquet'")
+    want = con.execute(f"select query_id, rank, vec_id, score from ({topk.TOP_K_SQL})").fetchall()
+    assert Counter(tuple(r) for r in top_k(df).collect()) == Counter(want) and len({r[0] for r in want}) == 6
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert top_k(df).count() == 0

@@ -62,7 +62,7 @@ def _chunks(query_of, k: int) -> object:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """One row per chunk: its vectors, and its queries with the k-th score among the chunk's other vectors."""
         for batch in batches:
-            for chunk, members in zip(batch["chunk"], batch["members"]):
+            for length, chunk, members in zip(batch["length"], batch["chunk"], batch["members"]):
                 members = sorted(members, key=lambda m: m["place"])
                 ids = np.array([m["vec_id"] for m in members], np.int64)
                 matrix = np.array([m["vector"] for m in members], np.int64)
@@ -74,19 +74,22 @@ def _chunks(query_of, k: int) -> object:
                     known = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
                 row, queries = _packed(matrix), _packed(matrix[asked])
                 yield pd.DataFrame([{
-                    "chunk": chunk, "ids": ids.tobytes(), "kind": row["kind"], "values": row["values"],
-                    "query_ids": ids[asked].tobytes(), "query_kind": queries["kind"], "query_values": queries["values"],
+                    "length": length, "chunk": chunk, "ids": ids.tobytes(), "kind": row["kind"], "values": row["values"],
+                    "query_places": (chunk * CHUNK + asked).astype(np.int64).tobytes(), "query_ids": ids[asked].tobytes(), "query_kind": queries["kind"], "query_values": queries["values"],
                     "known": known.astype(np.int64).tobytes(),
                 }])
 
     return run
 
 
-_CHUNK_SCHEMA = "chunk long, ids binary, kind string, values binary, query_ids binary, query_kind string, query_values binary, known binary"
+_CHUNK_SCHEMA = (
+    "length int, chunk long, ids binary, kind string, values binary, "
+    "query_places binary, query_ids binary, query_kind string, query_values binary, known binary"
+)
 
 
-def _search_chunk(queries, query_ids, known, matrix, ids, k):
-    """(query place, id, score) of the chunk's vectors that may be among a query's k best."""
+def _search_chunk(queries, own, known, matrix, ids, k):
+    """Scores and ids of the chunk's vectors that may be among a query's k best; ``own`` is the query's place in the chunk, if any."""
     starts = np.arange(0, len(ids), BLOCK)
     greatest, least = np.maximum.reduceat(matrix, starts), np.minimum.reduceat(matrix, starts)
     q = queries.astype(np.float64)
@@ -107,7 +110,7 @@ def _search_chunk(queries, query_ids, known, matrix, ids, k):
             mine = alive[block == b]
             lo, hi = starts[b], min(starts[b] + BLOCK, len(ids))
             scores = _products(queries[mine], matrix[lo:hi])
-            good = (scores >= kth[mine, None]) & (ids[None, lo:hi] != query_ids[mine, None])
+            good = (scores >= kth[mine, None]) & (np.arange(lo, hi)[None, :] != own[mine, None])
             for at in np.flatnonzero(good.any(1)):
                 place, pick = int(mine[at]), good[at]
                 s, i = scores[at][pick], ids[lo:hi][pick]
@@ -131,9 +134,12 @@ def _search(k: int):
                         continue
                     queries = _unpacked(part["query_kind"], part["query_values"], len(query_ids)).astype(np.int64)
                     known = np.frombuffer(part["known"], np.int64)
-                    held = _search_chunk(queries, query_ids, known, matrix, ids, k)
+                    places = np.frombuffer(part["query_places"], np.int64)
+                    held = _search_chunk(queries, places - row.chunk * CHUNK, known, matrix, ids, k)
                     sizes = [len(s) for s, _ in held.values()]
                     yield pd.DataFrame({
+                        "length": np.full(sum(sizes), row.length, np.int32),
+                        "query_place": np.repeat(places[list(held)], sizes) if held else np.empty(0, np.int64),
                         "query_id": np.repeat(query_ids[list(held)], sizes) if held else np.empty(0, np.int64),
                         "vec_id": np.concatenate([i for _, i in held.values()]) if held else np.empty(0, np.int64),
                         "score": np.concatenate([s for s, _ in held.values()]) if held else np.empty(0, np.int64),
@@ -146,46 +152,48 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
     """query_id, rank, vec_id and score: the k best other vectors of each vec_id divisible by ``every``.
 
     Ties go to the smaller vec_id. Vectors that are null, empty or hold null or
-    non-finite components take no part, nor do rows without a vec_id, nor vectors of
-    another length than the most frequent (of equally frequent ones, the longest). A
-    vec_id stands for one vector: of several rows with one id the greatest vector, by
-    component, counts. Scores must fit 64 bits. With k or fewer others a query gets all. An empty table gives an
-    empty result. Other columns are not read.
+    non-finite components take no part, nor do rows without a vec_id. Rows are told
+    apart by their written place, so of several rows with one vec_id each is a candidate,
+    and each is a query of its own that leaves out only itself. A product needs equal
+    lengths: a query meets the vectors of its own length. Scores must fit 64 bits. With k
+    or fewer others a query gets all. An empty table gives an empty result. Other columns
+    are not read.
 
     Queries are a share of the rows; they meet all rows in blocks, a group of queries
     with one chunk at a time, so a task holds one chunk and one group.
     """
     rows = vectors.filter(F.col("vec_id").isNotNull() & _usable(F.col("embedding")))
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), quantized(F.col("embedding")).alias("vector"))
-    lengths = rows.groupBy(F.size("vector").alias("n")).agg(F.count("*").alias("rows")).agg(F.max_by("n", F.struct("rows", "n"))).first()[0]
-    rows = rows.filter(F.size("vector") == F.lit(lengths or 0)).groupBy("vec_id").agg(F.max("vector").alias("vector"))
+    rows = rows.withColumn("length", F.size("vector"))
     strength = F.transform("vector", lambda x: F.abs(x))
     term = F.array_position(strength, F.array_max(strength))
     rows = rows.withColumn("_term", F.when(F.element_at("vector", term.cast("int")) < 0, -term).otherwise(term))
-    placed = ranked(rows, [], ["_term", "vec_id"], "_place").withColumn("place", F.col("_place") - 1)
-    grouped = placed.groupBy(F.floor(F.col("place") / CHUNK).alias("chunk"))
+    placed = ranked(rows, ["length"], ["_term", "vec_id", "vector"], "_place").withColumn("place", F.col("_place") - 1)
+    grouped = placed.groupBy("length", F.floor(F.col("place") / CHUNK).alias("chunk"))
     grouped = grouped.agg(F.collect_list(F.struct("place", "vec_id", "vector")).alias("members"))
     chunks = written_table(grouped.mapInPandas(_chunks(lambda ids: ids % every == 0, k), _CHUNK_SCHEMA), "chunks")
-    part = F.struct("query_ids", "query_kind", "query_values", "known")
-    groups = chunks.groupBy(F.floor(F.col("chunk") / GROUP).alias("group")).agg(F.collect_list(part).alias("queries"))
-    groups = groups.select("queries", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(chunks.count() - 1, 0)).cast("long"))).alias("chunk"))
-    pairs = groups.join(chunks.select("chunk", "ids", "kind", "values"), "chunk")
-    found = pairs.select("queries", "ids", "kind", "values").mapInPandas(_search(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    part = F.struct("query_places", "query_ids", "query_kind", "query_values", "known")
+    groups = chunks.groupBy("length", F.floor(F.col("chunk") / GROUP).alias("group")).agg(F.collect_list(part).alias("queries"))
+    last = chunks.groupBy("length").agg(F.max("chunk").alias("last"))
+    groups = groups.join(last, "length")
+    groups = groups.select("length", "queries", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("chunk"))
+    pairs = groups.join(chunks.select("length", "chunk", "ids", "kind", "values"), ["length", "chunk"])
+    found = pairs.mapInPandas(_search(k), "length int, query_place long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("length", "query_place").orderBy(F.col("score").desc(), "vec_id")
     best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
 
 
 TOP_K_SQL = """
 with usable as (
-  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+  select row_number() over () as place, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
   where vec_id is not null and embedding is not null and len(embedding) > 0
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
-  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
-  from usable q join usable c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+  select q.place, q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from usable q join usable c on q.place <> c.place and len(q.v) = len(c.v) where q.vec_id % 20 = 0
 ), placed as (
-  select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from scored
+  select query_id, row_number() over (partition by place order by score desc, vec_id)::int as rank, vec_id, score from scored
 )
 select query_id, rank, vec_id, score from placed where rank <= 20
 """
