@@ -203,8 +203,10 @@ def service_defaults(spark, sf):
 
 @query("D2_weather_gaps", "SELECT id, temp_c, precipitation, viento_kmh, lluvia, nieve FROM enriched", "temp_c precipitation viento_kmh")
 def weather_gaps(spark, sf):
-    t = enrichment.with_weather(enrichment.with_zones(B.trips(spark, sf), B.zones(spark, sf)), written_table(B.weather(spark, sf), "weather"))
-    return enrichment.fill_weather(t).select("id", "temp_c", "precipitation", "viento_kmh", "lluvia", "nieve")
+    trips, zones, weather = B.trips(spark, sf), B.zones(spark, sf), written_table(B.weather(spark, sf), "weather")
+    t = enrichment.with_weather(enrichment.with_zones(trips, zones), weather)
+    medians = enrichment.weather_medians(trips, zones, weather)
+    return enrichment.fill_weather(t, medians=medians).select("id", "temp_c", "precipitation", "viento_kmh", "lluvia", "nieve")
 
 
 _TIP_MEDIAN = "(SELECT quantile_cont(propina, 0.5) FROM trips WHERE propina > 0)"
