@@ -85,6 +85,32 @@ def test_zero_terms_are_left_out_and_change_no_score():
     assert ((m.scores([m.numbers(r.astype(np.uint64)) for r in rows]) > 0.5) == labels).all()
 
 
+@pytest.mark.parametrize("n", [500, 20_000])
+def test_one_rule_ends_fits_of_any_size(monkeypatch, n):
+    rng = np.random.default_rng(8)
+    rows = [np.unique(rng.integers(0, 50, 6)) for _ in range(n)]
+    labels = np.array([float(0 in r and 1 in r or 2 in r) for r in rows])
+    judged, log_loss = [], fm._log_loss
+    monkeypatch.setattr(fm, "_log_loss", lambda *a: judged.append(log_loss(*a)) or judged[-1])
+    fit = lambda: fm.fit(rows, labels, 50, terms=np.arange(50, dtype=np.uint64), extra={})
+    m = fit()
+    least = judged[0]
+    since = 0
+    for loss in judged:
+        least, since = (loss, 0) if loss < least - fm.LEAST_FALL else (least, since + 1)
+    assert since in (fm.PATIENCE, fm.PATIENCE + 1) and least < 0.05
+    again = fit()
+    assert m.bias == again.bias and (m.weights == again.weights).all() and (m.factors == again.factors).all()
+
+
+def test_dropped_features_leave_the_same_rows():
+    rows = [np.array([0, 3, 4]), np.array([], np.int64), np.array([1, 2]), np.array([4])]
+    flat, starts = fm._renumbered(*fm._ragged(rows), np.array([True, False, False, True, True]))
+    assert [flat[a:b].tolist() for a, b in zip(starts, starts[1:])] == [[0, 1, 2], [], [], [2]]
+    flat, starts = fm._taken(*fm._ragged(rows), np.array([2, 1, 0]))
+    assert [flat[a:b].tolist() for a, b in zip(starts, starts[1:])] == [[1, 2], [], [0, 3, 4]]
+
+
 @pytest.mark.parametrize("score", [score_toxicity, score_quality])
 def test_odd_rows(spark, score):
     docs, labels = corpus(spark)

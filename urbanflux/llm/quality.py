@@ -93,7 +93,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     """All columns of ``docs`` with held_out, score and predicted (score >= threshold).
 
     The metadata are the text's own length and line counts; a null text counts as
-    empty and is scored by its (zero) statistics. A null id is not held out. Repeated
+    empty and is scored by its (zero) statistics; a text of any length is scored
+    whole. A null id is not held out. Repeated
     rows are scored alike. Without usable labels every text scores 0.5. Input columns
     named as the three added ones are replaced. An empty table gives an empty result.
     """

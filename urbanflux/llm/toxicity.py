@@ -64,7 +64,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS)
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """All columns of ``docs`` with held_out, score and predicted.
 
-    A null or empty text has no terms and scores the machine's bias. A null id is not
+    A null or empty text has no terms and scores the machine's bias; a text of any length is
+    scored whole. A null id is not
     held out. Repeated rows are scored alike. Without usable labels every text scores
     0.5. Input columns named as the three added ones are replaced. An empty table
     gives an empty result.
