@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tools.check_queries import compare, connect
 from urbanflux.llm import queries, topk
-from urbanflux.llm.dac import Codes, pack
+from urbanflux.llm.dac import Codes, document_ids, pack
 from urbanflux.llm.divergence import measured, quality_rules
 from urbanflux.llm.licenses import TEMPLATES, license_matches
 from urbanflux.llm.pieces import Lattice, Vocabulary, checked, decode_pieces_of, encode_batch, encode_documents
@@ -127,9 +127,10 @@ def test_encoder_is_the_library():
         assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def test_token_files(spark, tmp_path):
+@pytest.mark.parametrize("file_ids", [4_000_000, 40, 1])
+def test_token_files(spark, tmp_path, file_ids):
     docs = odd_documents(spark).repartition(3)
-    files = write_token_files(docs, queries.BYTE_BPE, str(tmp_path / "tokens"))
+    files = write_token_files(docs, queries.BYTE_BPE, str(tmp_path / "tokens"), file_ids)
     got = sorted(read_token_files(files).collect(), key=lambda r: r.start)
     encoder = Encoder(queries.BYTE_BPE)
     rows = docs.collect()
@@ -142,8 +143,19 @@ def test_token_files(spark, tmp_path):
     for r in got:
         assert r.start == at and (r.n_tokens, r.ids_crc32) in want[r.doc_id]
         at += r.n_tokens
-    first = files.orderBy("file").first()
-    assert len(tokens_of(first.path, 0)) == got[0].n_tokens
+    listed = files.orderBy("file").collect()
+    assert [f.file for f in listed] == list(range(len(listed)))
+    sizes = iter(r.n_tokens for r in got)
+    for f in listed:
+        held = [next(sizes) for _ in range(f.documents)]
+        assert sum(held) == f.ids and sum(held[:-1]) < file_ids
+    assert file_ids > 1 or len(listed) == len(rows)
+    crcs = iter(r.ids_crc32 for r in got)
+    for f in listed:
+        for number in range(f.documents):
+            assert zlib.crc32(tokens_of(f.path, number).tobytes()) == next(crcs)
+    with pytest.raises(IndexError):
+        tokens_of(listed[0].path, listed[0].documents)
     assert all(n.endswith(".dac") for n in os.listdir(tmp_path / "tokens") if not n.startswith("."))
     assert read_token_files(write_token_files(docs.limit(0), queries.BYTE_BPE, str(tmp_path / "none"))).count() == 0
 
@@ -156,6 +168,15 @@ def test_codes(top):
     assert [codes[i] for i in range(0, 5000, 77)] == ids[::77].tolist()
     for lo, hi in ((0, 0), (511, 513), (512, 1024), (4999, 5000), (63, 2000)):
         assert (codes.span(lo, hi) == ids[lo:hi]).all()
+    places = np.array([0, 0, 511, 513, 1024, 2000, 5000])
+    data = pack(ids, np.arange(6), np.ones(6, bool), places)
+    read = []
+    for number, (lo, hi) in enumerate(zip(places, places[1:])):
+        got = document_ids(lambda size, at: read.append(size) or data[at : at + size], number)
+        assert (got == ids[lo:hi]).all()
+        if number == 2:
+            assert sum(read) < len(data) // 10
+        read.clear()
     empty = Codes(pack(np.empty(0, "<u4"), np.empty(0), np.empty(0), np.array([0])))
     assert empty.n_ids == 0 and len(empty.span(0, 0)) == 0
 

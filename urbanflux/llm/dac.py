@@ -13,6 +13,8 @@ its bytes, its bitmap (padded to whole blocks; none on the last level) and direc
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 MAGIC = b"DAC1"
@@ -96,3 +98,40 @@ class Codes:
         block, word = place // BLOCK, place // 64
         inside = int(np.bitwise_count(bits[block * (BLOCK // 64) : word]).sum())
         return int(ranks[block]) + inside + (int(bits[word]) & (1 << place % 64) - 1).bit_count()
+
+
+def document_ids(read_at: Callable[[int, int], bytes], number: int) -> np.ndarray:
+    """Ids of document ``number`` of a file of which ``read_at(size, offset)`` gives parts.
+
+    Read are the header, two starts and, for each level, the bytes of the document, their
+    bits from the start of their block, and a directory entry: nothing in proportion to the file.
+    """
+
+    def part(kind, offset: int, n: int) -> np.ndarray:
+        return np.frombuffer(read_at(n * np.dtype(kind).itemsize, offset), kind, n)
+
+    if bytes(read_at(4, 0)) != MAGIC:
+        raise ValueError("not a file of directly addressable codes")
+    n_levels, _, documents = part("<i8", 4, 3).tolist()
+    if not 0 <= number < documents:
+        raise IndexError(f"document {number} of {documents}")
+    lengths = part("<i8", 28, n_levels).tolist()
+    at = 28 + 8 * n_levels + 9 * documents
+    lo, hi = part("<i8", at + 8 * number, 2).tolist()
+    at += 8 * (documents + 1)
+    out, held = np.zeros(hi - lo, "<u4"), np.arange(hi - lo)
+    for depth, n in enumerate(lengths):
+        out[held] |= part(np.uint8, at + lo, hi - lo).astype("<u4") << np.uint32(8 * depth)
+        at += n
+        if depth == n_levels - 1 or hi <= lo:
+            break
+        blocks, first, last = -(-n // BLOCK), lo // BLOCK, -(-hi // BLOCK)
+        bits = np.unpackbits(part(np.uint8, at + first * BLOCK // 8, (last - first) * BLOCK // 8), bitorder="little")
+        at += blocks * BLOCK // 8
+        more = bits[lo - first * BLOCK : hi - first * BLOCK].astype(bool)
+        ahead = int(bits[: lo - first * BLOCK].sum())
+        lo = int(part("<i8", at + 8 * first, 1)[0]) + ahead
+        at += 8 * blocks
+        held = held[more]
+        hi = lo + len(held)
+    return out

@@ -18,10 +18,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from urbanflux.llm.common import scratch_path, written_table
-from urbanflux.llm.dac import Codes, pack
+from urbanflux.llm.dac import Codes, document_ids, pack
 
 #: Appended to every document.
 END_ID = 0
+#: A file is closed once it holds so many ids.
+FILE_IDS = 4_000_000
+#: Most tasks that read files; with more files each task reads several, one after another.
+MOST_READERS = 10_000
 #: Characters of text that are split and looked up together.
 CHARACTERS = 4_000_000
 #: Encoded words of a worker's newer generation; once it is full it becomes the older one.
@@ -148,42 +152,54 @@ def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield lo, len(texts)
 
 
-def write_token_files(docs: DataFrame, vocabulary: str, folder: str) -> DataFrame:
+def write_token_files(docs: DataFrame, vocabulary: str, folder: str, file_ids: int = FILE_IDS) -> DataFrame:
     """Write the ids of all texts in ascending order of doc_id; returns the table of files.
 
     Documents are dealt by range of (doc_id, hash of the text), null ids first, so that
-    a repeated id may fill several files; each task sorts its range, encodes it and
-    writes one file, under a name of its own that is moved to the final one at the end,
-    so a repeated task leaves one file. Null texts count as empty; every document ends
-    with END_ID. Empty ranges write no file. Returned: file (number, in order), path,
+    a repeated id may fill several files; each task sorts its range and encodes it slice
+    by slice. A file is closed once it holds ``file_ids`` ids, so a task holds one file and
+    one slice however long its range is; only a document that is longer fills a longer file.
+    A file is named by its range and its number there, and gets that name at its end,
+    so a repeated task leaves the same files. Null texts count as empty, texts of any length
+    are encoded whole; every document ends with END_ID. Empty ranges write no file. Columns beside
+    doc_id and text, whatever their names, are not read. Returned: file (number, in order), path,
     documents, ids and before (ids of all files before).
     """
     target = folder.rstrip("/")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(vocabulary)
-        doc_ids, known, ids, sizes = [], [], [], []
+        context = TaskContext.get()
+        system, place = store(target)
+        doc_ids, known, ids, held, closed = [], [], [], 0, 0
+
+        def close() -> pd.DataFrame:
+            nonlocal held, closed
+            name = f"tokens-{context.partitionId():06d}-{closed:06d}.dac"
+            starts = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+            data = pack(np.concatenate(ids), np.array(doc_ids, np.int64), np.array(known, bool), starts)
+            system.create_dir(place, recursive=True)
+            with system.open_output_stream(f"{place}/{name}.{context.taskAttemptId()}.part") as out:
+                out.write(data)
+            system.move(f"{place}/{name}.{context.taskAttemptId()}.part", f"{place}/{name}")
+            row = {"range": context.partitionId(), "part": closed, "name": name, "documents": len(ids), "ids": held}
+            doc_ids.clear(), known.clear(), ids.clear()
+            held, closed = 0, closed + 1
+            return pd.DataFrame([row])
+
         for batch in batches:
             texts = batch["text"].tolist()
-            doc_ids.append(batch["doc_id"].to_numpy(np.int64))
-            known.append(batch["known"].to_numpy(bool))
             for lo, hi in _slices(texts):
-                for part in encoder.encode(texts[lo:hi]):
-                    ids.append(part.astype("<u4", copy=False))
-                    ids.append(np.array([END_ID], "<u4"))
-                    sizes.append(len(part) + 1)
-        if not sizes:
-            return
-        number, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        data = pack(np.concatenate(ids), np.concatenate(doc_ids), np.concatenate(known), starts)
-        system, place = store(target)
-        system.create_dir(place, recursive=True)
-        path = f"{place}/tokens-{number:06d}.dac"
-        with system.open_output_stream(f"{path}.{attempt}.part") as out:
-            out.write(data)
-        system.move(f"{path}.{attempt}.part", path)
-        yield pd.DataFrame({"file": [number], "name": [os.path.basename(path)], "documents": [len(sizes)], "ids": [int(starts[-1])]})
+                encoded = encoder.encode(texts[lo:hi])
+                for doc_id, is_known, part in zip(batch["doc_id"][lo:hi].tolist(), batch["known"][lo:hi].tolist(), encoded):
+                    doc_ids.append(doc_id)
+                    known.append(is_known)
+                    ids.append(np.append(part, END_ID).astype("<u4"))
+                    held += len(part) + 1
+                    if held >= file_ids:
+                        yield close()
+        if ids:
+            yield close()
 
     rows = docs.select(
         F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"), F.col("doc_id").isNotNull().alias("known"),
@@ -191,10 +207,24 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str) -> DataFram
     )
     order = [F.col("known"), F.col("doc_id"), F.xxhash64("text")]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    files = written_table(dealt.mapInPandas(run, "file long, name string, documents long, ids long"), "token_files")
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    path = F.concat(F.lit(target + "/"), "name").alias("path")
-    return files.select("file", path, "documents", "ids", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("before"))
+    parts = written_table(dealt.mapInPandas(run, "range int, part int, name string, documents long, ids long"), "token_files")
+    return _placed(parts, target)
+
+
+def _placed(parts: DataFrame, target: str) -> DataFrame:
+    """Number and ``before`` of each file: sums over ranges first, so that no window holds all files."""
+    ranges = parts.groupBy("range").agg(F.count(F.lit(1)).alias("files"), F.sum("ids").alias("all_ids"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(
+        "range", F.coalesce(F.sum("files").over(earlier), F.lit(0)).alias("files_before"),
+        F.coalesce(F.sum("all_ids").over(earlier), F.lit(0)).alias("ids_before"),
+    )
+    within = Window.partitionBy("range").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("ids").over(within), F.lit(0))
+    return parts.withColumn("inside", inside).join(ranges, "range").select(
+        (F.col("files_before") + F.col("part")).alias("file"), F.concat(F.lit(target + "/"), "name").alias("path"),
+        "documents", "ids", (F.col("ids_before") + F.col("inside")).alias("before"),
+    )
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
@@ -213,16 +243,16 @@ def read_token_files(files: DataFrame) -> DataFrame:
                     "ids_crc32": [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(starts.tolist(), starts[1:].tolist())],
                 })
 
-    spread = files.select("path", "before").repartition(max(files.count(), 1), "path")
-    return spread.mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # A file holds few ids more than one file_ids, so a task's memory does not depend on how many it reads.
+    tasks = max(files.sparkSession.sparkContext.defaultParallelism, min(files.count(), MOST_READERS))
+    return files.select("path", "before").repartition(tasks, "path").mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def tokens_of(path: str, number: int) -> np.ndarray:
-    """Ids of the document at place ``number`` of a file."""
+    """Ids of the document at place ``number`` of a file; only the bytes that hold them are read."""
     system, place = store(path)
-    with system.open_input_stream(place) as stream:
-        codes = Codes(stream.read())
-    return codes.span(int(codes.starts[number]), int(codes.starts[number + 1]))
+    with system.open_input_file(place) as file:
+        return document_ids(file.read_at, number)
 
 
 def token_folder(spark: SparkSession) -> str:
