@@ -15,6 +15,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class StageTables:
+    """Stage tables of one job, removed once what is made of them is written.
+
+    Within ``with``, ``write`` works as ``written_table``; at the end the tables go, so
+    nothing that still reads them may leave the block unwritten. A result that was written before
+    doesn't read them any more, whatever executors are lost. An error leaves them in place.
+    """
+
+    def __init__(self):
+        self._spark, self._paths = None, []
+
+    def __enter__(self) -> StageTables:
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        if kind is None:
+            self.remove()
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self._spark = df.sparkSession
+        path = scratch_path(self._spark, name)
+        df.write.parquet(path)
+        self._paths.append(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        while self._paths:
+            path = self._spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._paths.pop())
+            path.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def id_remainder(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
@@ -44,4 +75,4 @@ def ranked(df: DataFrame, group: list[str], order: list[str], rank: str) -> Data
     return numbered.drop("_range", "_r", "_ahead", "_in_range", *[f"_g_{c}" for c in group])
 
 
-__all__ = ["WORD", "id_remainder", "ranked", "scratch_path", "table", "written_table"]
+__all__ = ["WORD", "StageTables", "id_remainder", "ranked", "scratch_path", "table", "written_table"]

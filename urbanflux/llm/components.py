@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanflux.llm.common import written_table
+from urbanflux.llm.common import StageTables
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -18,20 +18,25 @@ def components(edges: DataFrame) -> DataFrame:
     Nodes are longs. Each round hangs a node's larger neighbours on the least of its
     neighbourhood, then its smaller ones, until the edges are stars around the roots;
     the number of rounds grows with the logarithm of a component's size. Rounds are
-    written tables. The least neighbours are written before they are joined, so that
+    written tables, of which only the last stays. The least neighbours are written before they are joined, so that
     the join is between plain tables and a hub's edges can be split over tasks.
     """
     flat = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    stars = written_table(flat, "stars")
+    kept = StageTables()
+    stars = kept.write(flat, "stars")
     before = _state(stars)
     while before[0]:
-        both = stars.select(F.col("u").alias("x"), F.col("v").alias("y")).union(stars.select(F.col("v"), F.col("u")))
-        least = written_table(both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("m")), "least")
-        large = both.join(least, "x").filter("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
-        large = written_table(large, "large")
-        least = written_table(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        hung = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = written_table(least.select("u", F.col("m").alias("v")).union(hung).distinct(), "stars")
+        with StageTables() as tables:
+            both = stars.select(F.col("u").alias("x"), F.col("v").alias("y")).union(stars.select(F.col("v"), F.col("u")))
+            least = tables.write(both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("m")), "least")
+            large = both.join(least, "x").filter("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
+            large = tables.write(large, "large")
+            least = tables.write(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+            hung = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            following = StageTables()
+            stars = following.write(least.select("u", F.col("m").alias("v")).union(hung).distinct(), "stars")
+        kept.remove()
+        kept = following
         after = _state(stars)
         if after == before:
             break

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanflux.llm.common import id_remainder, written_table
+from urbanflux.llm.common import StageTables, id_remainder, written_table
 from urbanflux.llm.fm import Machine
 
 #: Most labelled rows that a machine is fitted on.
@@ -47,8 +47,9 @@ def fitted(rows: DataFrame, fit_rows: Callable[[pd.DataFrame], Machine]) -> Mach
         yield pd.DataFrame({"machine": [pickle.dumps(fit_rows(held))]})
 
     # Written first: the fit then never replays the extraction of features.
-    one = written_table(rows, "training").repartition(1).mapInPandas(run, "machine binary")
-    return pickle.loads(bytes(one.first()[0]))
+    with StageTables() as tables:
+        one = tables.write(rows, "training").repartition(1).mapInPandas(run, "machine binary")
+        return pickle.loads(bytes(one.first()[0]))
 
 
 def scoring(machine: Machine, row_features: Callable[[Machine, str | None], object]) -> Callable[[Column], Column]:
