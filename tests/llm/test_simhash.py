@@ -129,3 +129,17 @@ def test_components_of_graphs(spark, edges):
 def test_long_text_fingerprint():
     text = "a b c " * 60_000
     assert fingerprint(text) == plain_fingerprint(text[:600]) or isinstance(fingerprint(text), int)
+
+
+@pytest.mark.parametrize("radius", [2, 3, 6, 7, 14, 28, 31, 32, 63])
+def test_pairs_within_any_radius(radius):
+    rng = np.random.default_rng(radius)
+    prints, queries = (rng.integers(0, 2**64, n, dtype=np.uint64) for n in (700, 90))
+    near = rng.random(700) < 0.5
+    prints[near] = queries[rng.integers(0, 90, near.sum())] ^ (np.uint64(1) << rng.integers(0, 64, near.sum(), dtype=np.uint64))
+    prints[:90] = queries ^ (rng.integers(0, 2**64, 90, dtype=np.uint64) & rng.integers(0, 2**64, 90, dtype=np.uint64))
+    lo = rng.integers(0, 600, 90)
+    hi = lo + rng.integers(1, 101, 90)
+    want = {(i, j) for i in range(90) for j in range(lo[i], hi[i]) if int(prints[j] ^ queries[i]).bit_count() <= radius}
+    got = [p for query, place in simhash.pairs_within(prints, queries, lo, hi, radius) for p in zip(query.tolist(), place.tolist())]
+    assert len(got) == len(set(got)) and set(got) == want and want

@@ -30,6 +30,8 @@ BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 TILE = 2048
 #: (query, word) pairs whose counters are held at once.
 HELD = 1 << 18
+#: (query, word) pairs whose fingerprints are told apart at once.
+PAIRED = 1 << 12
 #: Fingerprints whose buckets are linked in one call.
 LINKED = 1 << 16
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -51,7 +53,11 @@ def shingle_hashes(text: str | None, width: int) -> np.ndarray:
 
 def fingerprint(text: str | None) -> int:
     """Signed 64-bit SimHash of the 3-word shingles, repeats included; 0 without words."""
-    hashes = shingle_hashes(text, 3)
+    return fingerprint_of(shingle_hashes(text, 3))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Signed 64-bit SimHash of big-endian hashes: the bits set in over half of them; 0 without any."""
     if not len(hashes):
         return 0
     ones = np.zeros(BITS, np.int64)
@@ -74,9 +80,14 @@ def _planes(prints: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view("<u8")
 
 
-def _within(planes: np.ndarray, prints: np.ndarray, query: np.ndarray, word: np.ndarray, over: np.ndarray):
-    """(query, word, bits) of the pairs whose word holds fingerprints within the radius; ``over``: bits left out."""
-    ones, twos = np.zeros(len(query), np.uint64), np.zeros(len(query), np.uint64)
+def _within(planes: np.ndarray, prints: np.ndarray, query: np.ndarray, word: np.ndarray, over: np.ndarray, radius: int = RADIUS):
+    """(query, word, bits) of the pairs whose word holds fingerprints within the radius; ``over``: bits left out.
+
+    The radius is 2 at least. Counters have as many bits as the radius and begin so high that
+    they run over with the first difference past it.
+    """
+    bits = radius.bit_length()
+    counters = [np.full(len(query), _ALL if (1 << bits) - 1 - radius >> i & 1 else 0, np.uint64) for i in range(bits)]
     for p in range(0, BITS, 3):
         diffs = []
         for plane in range(p, min(p + 3, BITS)):
@@ -87,46 +98,70 @@ def _within(planes: np.ndarray, prints: np.ndarray, query: np.ndarray, word: np.
         # Carry-save: three one-bit inputs become a sum of weight 1 and a carry of weight 2.
         both = a ^ b
         total, carry = both ^ c, (a & b) | (both & c)
-        carried = ones & total
-        ones ^= total
-        over |= twos & carry
-        twos ^= carry
-        over |= twos & carried
-        twos ^= carried
+        carried = counters[0] & total
+        counters[0] ^= total
+        # Two carries of weight 2; at most one of them is passed on.
+        up = counters[1] & carry
+        counters[1] ^= carry
+        up |= counters[1] & carried
+        counters[1] ^= carried
+        for counter in counters[2:]:
+            held = counter & up
+            counter ^= up
+            up = held
+        over |= up
         live = over != _ALL
         if not live.all():
-            query, word, over, ones, twos = query[live], word[live], over[live], ones[live], twos[live]
+            query, word, over, counters = query[live], word[live], over[live], [c[live] for c in counters]
         if not len(query):
             break
     return query, word, ~over
 
 
-def linked_forest(buckets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links that connect what fingerprints within the radius connect, bucket by bucket: a forest, not all pairs."""
-    prints = np.concatenate(buckets).view(np.uint64) if buckets else np.empty(0, np.uint64)
-    if not len(prints):
-        return []
-    sizes = np.array([len(b) for b in buckets])
-    hi = np.repeat(np.cumsum(sizes), sizes)
-    lo = hi - np.repeat(sizes, sizes)
+def words_within(
+    prints: np.ndarray, queries: np.ndarray, lo: np.ndarray, hi: np.ndarray, radius: int = RADIUS, held: int = HELD,
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query, word, bits) part by part: bit j of word w is fingerprint 64 w + j.
+
+    Query i is compared with the fingerprints lo[i] to hi[i], hi excluded, in bit-sliced form.
+    """
     planes = _planes(prints)
     first, last = lo // BITS, (hi - 1) // BITS
-    rows: dict[int, int] = {}
-    at = 0
     spans = np.cumsum(last - first + 1)
-    while at < len(prints):
+    at = 0
+    while at < len(queries):
         done = int(spans[at - 1]) if at else 0
-        end = max(at + 1, int(np.searchsorted(spans, done + HELD, "right")))
+        end = max(at + 1, int(np.searchsorted(spans, done + held, "right")))
         n = last[at:end] - first[at:end] + 1
         query = np.repeat(np.arange(at, end), n)
         word = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[query]
         low = np.maximum(lo[query] - word * BITS, 0)
         high = np.minimum(hi[query] - word * BITS, BITS)
         inside = (_ALL << low.astype(np.uint64)) & (_ALL >> (BITS - high).astype(np.uint64))
-        for q, w, bits in zip(*(x.tolist() for x in _within(planes, prints, query, word, ~inside))):
+        yield _within(planes, queries, query, word, ~inside, radius)
+        at = end
+
+
+def pairs_within(prints: np.ndarray, queries: np.ndarray, lo: np.ndarray, hi: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, place) of all pairs within the radius, part by part; ``lo`` and ``hi`` as in ``words_within``."""
+    for query, word, bits in words_within(prints, queries, lo, hi, radius, PAIRED):
+        row, bit = np.nonzero(np.unpackbits(bits.astype("<u8").view(np.uint8).reshape(len(bits), 8), axis=1, bitorder="little"))
+        yield query[row], word[row] * BITS + bit
+
+
+def linked_forest(buckets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect what fingerprints within the radius connect, bucket by bucket: a forest, not all pairs."""
+    prints = np.concatenate(buckets).view(np.uint64) if buckets else np.empty(0, np.uint64)
+    if not len(prints):
+        return []
+    sizes = np.array([len(b) for b in buckets])
+    hi = np.repeat(np.cumsum(sizes), sizes)
+    lo = hi - np.repeat(sizes, sizes)
+    rows: dict[int, int] = {}
+    for part in words_within(prints, prints, lo, hi):
+        for q, w, bits in zip(*(x.tolist() for x in part)):
             shift = BITS * w - int(lo[q])
             rows[q] = rows.get(q, 0) | (bits << shift if shift >= 0 else bits >> -shift)
-        at = end
     links, signed = [], prints.view(np.int64).tolist()
     unseen: dict[int, int] = {}
     for start in rows:
