@@ -127,6 +127,28 @@ def test_encoder_is_the_library():
         assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_put_together_from_known_pieces(monkeypatch):
+    encoder, rng = Encoder(queries.BYTE_BPE), np.random.default_rng(3)
+    stems, marks = ["alpha", "Beta", "éñß", "ÀLL", "x"], ["", ".", ",###", "&&&", "\n", ".\n", "\n\n", "'s", "'", "9", "½", "ƻ", "×", "\t", "\u0301", "<|", "|>", "日本", "_"]
+    texts = [" ".join("".join(rng.choice(stems) + rng.choice(marks) for _ in range(rng.integers(1, 4))).strip() or "x" for _ in range(60)) for _ in range(200)]
+    for ids, text in zip(encoder.encode(texts), texts):
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    encoder.encode(["x alpha Beta. delta, x&&& ,,, x.\nalpha", "x x;x"])
+    given, ids = [], encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda text: given.append(text) or ids(text))
+    text = "x delta.\nalpha&&& Beta;alpha, ,,,alpha alpha;x\nx."
+    assert encoder.encode([text])[0].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert given == ["x"]  # the word that begins the text
+
+
+def test_forgotten_words_and_pieces_are_learnt_again(monkeypatch):
+    monkeypatch.setattr("urbanflux.llm.token_files.REMEMBERED", 3)
+    encoder = Encoder(queries.BYTE_BPE)
+    for i in range(40):
+        texts = [f"go {'abcdefgh'[i % 8]}one.{'xyz'[i % 3]}two\nthree; go {'pqrst'[i % 5]}four,{'uvw'[i % 3]}five end."]
+        assert encoder.encode(texts)[0].tolist() == encoder.tokenizer.encode(texts[0], add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("file_ids", [4_000_000, 40, 1])
 def test_token_files(spark, tmp_path, file_ids):
     docs = odd_documents(spark).repartition(3)

@@ -32,6 +32,11 @@ CHARACTERS = 4_000_000
 REMEMBERED = 300_000
 #: A blank that does not stand between two visible characters; any white space of Unicode counts.
 _WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Letters (all of them in \\p{L}) and marks (none of them an apostrophe) at whose borders the word pattern always cuts.
+_LETTERS, _MARKS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"
+#: A word of letters and marks, with line breaks that stand alone between them; and its pieces.
+_CUT = re.compile(f"[{_LETTERS}{_MARKS}]+(?:\n[{_LETTERS}{_MARKS}]+)*")
+_PIECES = re.compile(f"[{_LETTERS}]+|[{_MARKS}]+|\n")
 _ODD_BLANK = f"{_WHITE} | {_WHITE}|^ | $"
 
 
@@ -51,7 +56,8 @@ class Encoder:
     characters. Words that are not remembered are encoded in one call, one blank before
     each; since no other token begins with a blank, the ids fall apart again at tokens
     that do. A text with other blanks, or a word with a special token's name, is left to
-    the library as it is.
+    the library as it is. A word of letters, marks and single line breaks is put together
+    from these pieces, which are far fewer than such words; the first is a word itself.
     """
 
     def __init__(self, vocabulary: str):
@@ -66,6 +72,7 @@ class Encoder:
         # Two generations: a word still in use moves to the newer one, the others are dropped with the older.
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"\n": np.array([self.newline], "<u4").tobytes()}  # pieces without a blank before them
 
     def _ids(self, text: str) -> np.ndarray:
         # The batch call for ids alone: it keeps no offsets of the tokens in the text.
@@ -75,14 +82,22 @@ class Encoder:
         """Remember the ids of `` word`` for each word."""
         if len(self.newer) > REMEMBERED:
             self.older, self.newer = self.newer, {}
-        unknown = []
+        if len(self.tails) > REMEMBERED:
+            self.tails = {"\n": self.tails["\n"]}
+        # Words to encode, and pieces of words to put together.
+        unknown, cut, tails = {}, [], {}
         for w in words:
-            if w not in self.newer:
-                ids = self.older.get(w)
-                if ids is None:
-                    unknown.append(w)
+            if w not in self.newer and not self._kept(w):
+                if not w.isalpha() and _CUT.fullmatch(w) and len(pieces := _PIECES.findall(w)) > 1:
+                    cut.append((w, pieces))
+                    if pieces[0] not in self.newer and not self._kept(pieces[0]):
+                        unknown[pieces[0]] = None
+                    for piece in pieces[1:]:
+                        if piece not in self.tails:
+                            tails[piece] = None
                 else:
-                    self.newer[w] = ids
+                    unknown[w] = None
+        unknown, tails = list(unknown), list(tails)
         for lo in range(0, len(unknown), 2000):
             part = unknown[lo : lo + 2000]
             ids = self._ids(" " + " ".join(part))
@@ -92,6 +107,19 @@ class Encoder:
             data = ids.tobytes()
             for word, a, b in zip(part, cuts, cuts[1:]):
                 self.newer[word] = data[4 * a : 4 * b]
+        for lo in range(0, len(tails), 2000):
+            part = tails[lo : lo + 2000]
+            for piece, ids in zip(part, self._openings(part)):
+                self.tails[piece] = ids.tobytes()
+        for w, (first, *rest) in cut:
+            self.newer[w] = self.newer[first] + b"".join([self.tails[t] for t in rest])
+
+    def _kept(self, word: str) -> bool:
+        """Whether the older generation has the word, which then moves to the newer one."""
+        ids = self.older.get(word)
+        if ids is not None:
+            self.newer[word] = ids
+        return ids is not None
 
     def _openings(self, words: list[str]) -> list[np.ndarray]:
         """Ids of words that begin a text, all in one call with a line break between them."""
@@ -119,20 +147,19 @@ class Encoder:
         split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         offsets = split.offsets.to_numpy()
         coded = split.flatten().dictionary_encode()
-        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        words = coded.dictionary.to_pylist()
         self._learn(words)
-        held = list(map(self.newer.__getitem__, words))
-        pool = np.frombuffer(b"".join(held), "<u4")
-        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
-        begins = np.cumsum(sizes) - sizes
-        n = sizes[at]
-        ends = np.cumsum(n)
-        ids = pool[np.arange(ends[-1]) + np.repeat(begins[at] - (ends - n), n)]
-        bounds = np.concatenate([[0], ends])[offsets]
+        held = pa.array(list(map(self.newer.__getitem__, words)), pa.large_binary())
+        # Arrow puts the bytes of all words one after another; offsets count bytes.
+        taken = held.take(coded.indices)
+        _, places, data = taken.buffers()
+        places = np.frombuffer(places, np.int64, len(taken) + 1) // 4
+        ids = np.frombuffer(data, "<u4", places[-1])
+        ends = places[offsets[1:]]
         # The first word has no blank before it.
         openings = self._openings([t.split(" ", 1)[0] for t in texts])
-        begins = bounds[:-1] + n[offsets[:-1]]
-        return [np.concatenate([o, ids[a:b]]) for o, a, b in zip(openings, begins, bounds[1:])]
+        begins = places[offsets[:-1] + 1]
+        return [np.concatenate([o, ids[a:b]]) for o, a, b in zip(openings, begins, ends)]
 
 
 @lru_cache(maxsize=2)
