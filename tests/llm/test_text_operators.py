@@ -49,6 +49,13 @@ def test_licenses_in_odd_rows(spark):
     assert license_matches(docs.limit(0)).count() == 0
 
 
+def test_windows_are_not_sent_to_the_driver(spark):
+    """However few bytes the written windows have, the templates are the side that is broadcast."""
+    docs = spark.createDataFrame([(i, TEMPLATES[i % 9][1]) for i in range(50)], "doc_id long, text string")
+    plan = license_matches(docs)._jdf.queryExecution().sparkPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan, plan
+
+
 # --- quality rules
 
 def test_rules_on_odd_rows(spark):

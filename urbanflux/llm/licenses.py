@@ -200,7 +200,8 @@ def license_matches(docs: DataFrame, templates: DataFrame | None = None) -> Data
     listed = listed.select("*", F.posexplode(signature(F.col("shingles"), F.col("t_bands"))).alias("t_band", "t_value"))
     same = (F.col("_value") == F.col("t_value")) & (F.col("_band") == F.col("t_band"))
     same = same & (F.col("_w.window") == F.col("t_window")) & (F.col("_w.k") == F.col("t_k"))
-    pairs = banded.join(listed, same)
+    # The templates are the bounded side; the bands of a small file of windows, as Spark sizes them, may not fit the driver.
+    pairs = banded.join(F.broadcast(listed), same)
     shared = F.filter("_in", lambda x: F.array_contains("shingles", x["s"]))
     pairs = pairs.select("doc_id", "license", "_w", "shingles", shared.alias("_shared"))
     pairs = pairs.withColumn("containment", F.size(F.array_distinct("_shared.s")) / F.size("shingles"))
